@@ -1,0 +1,104 @@
+"""An item store on plain Parquet folders: upsert, delete all, read the current state.
+
+An upsert appends the batch as one folder of changes; it never rewrites the store. The current
+state is the newest base folder plus all later changes, merged on read by
+:func:`leafmill.operators.upsert.upsert`. ``compact`` writes that state as a new base. A folder
+counts only once Spark has put its ``_SUCCESS`` file there, so a job lost half-way leaves the state
+as it was, and no folder that is being read is ever overwritten. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+from itertools import groupby
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from leafmill.operators.upsert import upsert
+
+_VERSION = "_version"
+_SEQ = "_seq"
+_ORDER = "_order"
+
+
+class ItemStore:
+    """Items keyed by ``key`` with the columns of ``schema``; ``maps`` are merged entry by entry."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType | str,
+        key: Sequence[str] = ("id",),
+        maps: Sequence[str] = (),
+    ) -> None:
+        self.spark, self.root, self.key, self.maps = spark, root.rstrip("/"), list(key), list(maps)
+        self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+
+    def _folders(self, kind: str) -> list[tuple[int, str, str]]:
+        """Committed folders as (version, token, path), oldest first."""
+        jvm = self.spark._jvm
+        parent = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
+        fs = parent.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(parent):
+            return []
+        found = []
+        for status in fs.listStatus(parent):
+            path = status.getPath()
+            version, _, token = path.getName().partition("-")
+            done = fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+            if version.isdigit() and done:
+                found.append((int(version), token, path.toString()))
+        return sorted(found)
+
+    def _next_version(self) -> int:
+        return max((v for kind in ("base", "change") for v, _, _ in self._folders(kind)), default=0) + 1
+
+    def _write(self, df: DataFrame, kind: str, token: str, version: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{kind}/{version:012d}-{token}")
+
+    def _changes_after(self, version: int) -> list[str]:
+        return [path for v, _, path in self._folders("change") if v > version]
+
+    def state(self) -> DataFrame:
+        """The current items, one row per key."""
+        bases = self._folders("base")
+        version = bases[-1][0] if bases else 0
+        base = (
+            self.spark.read.schema(self.schema).parquet(bases[-1][2])
+            if bases
+            else self.spark.createDataFrame([], self.schema)
+        )
+        changes = [(p, self.spark.read.parquet(p).columns) for p in self._changes_after(version)]
+        # Changes with the same columns are merged in one step.
+        for columns, run in groupby(changes, key=lambda change: change[1]):
+            batch = self.spark.read.parquet(*(path for path, _ in run)).select(*columns)
+            batch = batch.withColumn(_ORDER, F.struct(_VERSION, _SEQ)).drop(_VERSION, _SEQ)
+            base = upsert(base, batch, self.key, _ORDER, [m for m in self.maps if m in columns])
+        return base
+
+    def upsert(self, batch: DataFrame, seq: str, token: str | None = None) -> None:
+        """Apply ``batch``; ``seq`` orders items of one key. A ``token`` seen before is skipped."""
+        name = token or uuid.uuid4().hex
+        if any(name == seen for _, seen, _ in self._folders("change")):
+            return
+        unknown = [c for c in batch.columns if c != seq and c not in self.schema.names]
+        if unknown:
+            raise ValueError(f"not columns of the store: {unknown}")
+        version = self._next_version()
+        renamed = batch.withColumnRenamed(seq, _SEQ).withColumn(_VERSION, F.lit(version))
+        self._write(renamed, "change", name, version)
+
+    def compact(self) -> None:
+        """Write the current state as the new base."""
+        self._write(self.state(), "base", uuid.uuid4().hex, self._next_version())
+
+    def delete_all(self) -> int:
+        """Remove every item and return how many there were."""
+        count = self.state().count()
+        empty = self.spark.createDataFrame([], self.schema)
+        self._write(empty, "base", uuid.uuid4().hex, self._next_version())
+        return count
