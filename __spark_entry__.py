@@ -23,7 +23,7 @@ from leafmill.operators import (
     upsert,
     vectors,
 )
-from leafmill.plans import flow, ingest
+from leafmill.plans import flow, ingest, parallel
 from leafmill.plans.workdir import fresh_dir, fresh_table
 from leafmill.sources import files, tables
 from leafmill.sources.store import ItemStore
@@ -54,6 +54,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "documents").withColumn("path", _doc_path())
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for the row expressions that cost much more than reading the text."""
+    return parallel.spread(_table(spark, sf, "documents"), "doc_id")
+
+
 def _listing(spark: SparkSession, sf: str) -> DataFrame:
     urls = _table(spark, sf, "pages").select(F.col("url").alias("path"))
     return _documents(spark, sf).select("path").unionByName(urls)
@@ -245,7 +250,7 @@ def path_tail(spark, sf):
 
 
 def clean_text(spark, sf):
-    return _table(spark, sf, "documents").select(
+    return _texts(spark, sf).select(
         "doc_id", text.clean_text(F.col("text")).alias("cleaned")
     )
 
@@ -257,12 +262,12 @@ def document_id(spark, sf):
 
 
 def chunk_id(spark, sf):
-    rows = chunks.chunk_rows(_table(spark, sf, "documents"), ["doc_id"], _line_chunks())
+    rows = chunks.chunk_rows(_texts(spark, sf), ["doc_id"], _line_chunks())
     return rows.select("doc_id", "pos", text.chunk_id(F.col("chunk")).alias("id"))
 
 
 def token_count(spark, sf):
-    return _table(spark, sf, "documents").select(
+    return _texts(spark, sf).select(
         "doc_id", text.token_count(F.col("text")).alias("tokens")
     )
 
@@ -312,45 +317,38 @@ def extract_unprocessed(spark, sf):
 
 
 def chunk_separator(spark, sf):
-    return chunks.chunk_rows(_table(spark, sf, "documents"), ["doc_id"], _line_chunks())
+    return chunks.chunk_rows(_texts(spark, sf), ["doc_id"], _line_chunks())
 
 
 def chunk_recursive(spark, sf):
     return chunks.chunk_rows(
-        _table(spark, sf, "documents"), ["doc_id"], chunking.chunk_recursive(F.col("text"))
+        _texts(spark, sf), ["doc_id"], chunking.chunk_recursive(F.col("text"))
     )
 
 
 def chunk_wrap(spark, sf):
     return chunks.chunk_rows(
-        _table(spark, sf, "documents"), ["doc_id"], chunking.chunk_wrap(F.col("text"))
+        _texts(spark, sf), ["doc_id"], chunking.chunk_wrap(F.col("text"))
     )
 
 
 def summary_map_reduce(spark, sf):
-    return _table(spark, sf, "documents").select(
-        "doc_id", summaries.summary_map_reduce(F.col("text")).alias("summary")
-    )
+    return summaries.summary_map_reduce(_texts(spark, sf), ["doc_id"], "text")
 
 
 def summary_map_join(spark, sf):
-    return _table(spark, sf, "documents").select(
-        "doc_id",
-        summaries.summary_map_join(
-            F.col("text"), sep="\n", size=LINE_SIZE, overlap=LINE_OVERLAP
-        ).alias("summary"),
+    return summaries.summary_map_join(
+        _texts(spark, sf), ["doc_id"], "text", sep="\n", size=LINE_SIZE, overlap=LINE_OVERLAP
     )
 
 
 def summary_wrap_join(spark, sf):
-    return _table(spark, sf, "documents").select(
-        "doc_id", summaries.summary_wrap_join(F.col("text")).alias("summary")
-    )
+    return summaries.summary_wrap_join(_texts(spark, sf), ["doc_id"], "text")
 
 
 def vector_records(spark, sf):
     records = vectors.vector_records(
-        _table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"], _line_chunks()
+        _texts(spark, sf), "doc_id", "text", ["lang", "source"], _line_chunks()
     )
     return records.select(
         "doc_id",
@@ -419,7 +417,7 @@ def quarantine_split(spark, sf):
 
 def summarized_documents(spark, sf):
     return flow.summarized_documents(
-        _table(spark, sf, "documents"),
+        _texts(spark, sf),
         "text",
         ["source", "lang", "n_chars", "doc_id"],
         keep=["doc_id"],

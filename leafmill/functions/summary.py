@@ -2,7 +2,7 @@
 
 A sentence scores the sum, over its distinct words, of how often each word occurs in the text. The
 best ``k`` sentences are kept, in text order. Everything happens inside one row: no word is ever
-shuffled, and the cost is that of sorting the words of the text.
+shuffled, and the cost is that of sorting the words of the text and looking each one up.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ SENTENCE_END = r"[.!?\n]+"
 WORD_GAP = r"[\t-\r ]+"
 SENTENCE_JOINER = " \n"
 
+# Words that share one slot of the in-row lookup table, on average.
+WORDS_PER_SLOT = 32
+
 
 def sentences(text: Column) -> Column:
     """Non-empty stripped pieces between sentence ends."""
@@ -29,43 +32,80 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_GAP), lambda w: w != "")
 
 
-def _runs(items: Column, starts: Column, each) -> Column:
-    """Apply ``each(slice)`` to every run of a sorted array."""
-    return F.transform(
-        starts,
-        lambda b, k: each(
-            F.slice(items, b + 1, F.coalesce(F.get(starts, k + 1), F.size(items)) - b)
+def _word_counts(sorted_words: Column) -> Column:
+    """``array<struct<w, n>>`` of the distinct words of a sorted array."""
+    return let(
+        run_starts(sorted_words, lambda w: w),
+        lambda starts: F.transform(
+            starts,
+            lambda b, k: F.struct(
+                F.get(sorted_words, b).alias("w"),
+                (F.coalesce(F.get(starts, k + 1), F.size(sorted_words)) - b).alias("n"),
+            ),
         ),
     )
 
 
-def _grouped(sorted_items: Column, key: str, each) -> Column:
-    return let(run_starts(sorted_items, lambda x: x[key]), lambda s: _runs(sorted_items, s, each))
+def _slot(word: Column, slots: Column) -> Column:
+    return F.pmod(F.xxhash64(word), slots).cast("int")
 
 
-def _scores(found: Column) -> Column:
-    """``array<struct<score, i>>``, one entry per sentence, best first."""
-    tagged = F.sort_array(
-        F.flatten(
-            F.transform(
-                found, lambda s, i: F.transform(words(s), lambda w: F.struct(w.alias("w"), i.alias("i")))
-            )
-        )
+def _hash_table(counts: Column, slots: Column) -> Column:
+    """``array<map<word, n>>`` with one small map per slot, so a lookup costs the same in any text.
+
+    Slot and position of each word are packed into one whole number, which sorts fast. Position 0
+    is taken for every slot, so the sorted array holds exactly one run per slot.
+    """
+    empty = F.transform(F.sequence(F.lit(0), slots - 1), lambda b: F.shiftleft(b.cast("long"), 32))
+    placed = F.transform(
+        counts, lambda e, k: F.shiftleft(_slot(e["w"], slots).cast("long"), 32) + k + 1
     )
 
-    def shares(run: Column) -> Column:
-        n = F.size(run)
-        return F.transform(
-            F.array_distinct(F.transform(run, lambda t: t["i"])),
-            lambda i: F.struct(i.alias("i"), n.alias("n")),
+    def split(packed: Column) -> Column:
+        def entry(x: Column) -> Column:
+            return F.get(counts, (x % (1 << 32)).cast("int") - 1)
+
+        return let(
+            run_starts(packed, lambda x: F.shiftright(x, 32)),
+            lambda starts: F.transform(
+                starts,
+                lambda b, k: F.map_from_entries(
+                    F.transform(
+                        F.slice(
+                            packed,
+                            b + 2,
+                            F.coalesce(F.get(starts, k + 1), F.size(packed)) - b - 1,
+                        ),
+                        entry,
+                    )
+                ),
+            ),
         )
 
-    def score(run: Column) -> Column:
-        total = F.aggregate(run, F.lit(0).cast("long"), lambda a, t: a + t["n"])
-        return F.struct((-total).alias("order"), F.element_at(run, 1)["i"].alias("i"))
+    return let(F.sort_array(F.concat(empty, placed)), split)
+
+
+def _scores(found: Column) -> Column:
+    """``array<struct<order, i>>``, one entry per sentence, best first."""
+
+    def with_words(lists: Column) -> Column:
+        counts = let(F.sort_array(F.flatten(lists)), _word_counts)
+        return let(counts, lambda c: let((F.size(c) / WORDS_PER_SLOT + 1).cast("int"), with_slots(lists, c)))
+
+    def with_slots(lists: Column, counts: Column):
+        return lambda slots: let(_hash_table(counts, slots), lambda t: scored(lists, t, slots))
+
+    def scored(lists: Column, table: Column, slots: Column) -> Column:
+        def score(own: Column) -> Column:
+            return F.aggregate(
+                F.array_distinct(own),
+                F.lit(0).cast("long"),
+                lambda a, w: a + F.element_at(F.get(table, _slot(w, slots)), w),
+            )
+
+        return F.transform(lists, lambda own, i: F.struct((-score(own)).alias("order"), i.alias("i")))
 
-    per_word = let(tagged, lambda t: F.sort_array(F.flatten(_grouped(t, "w", shares))))
-    return F.sort_array(let(per_word, lambda t: _grouped(t, "i", score)))
+    return F.sort_array(let(F.transform(found, words), with_words))
 
 
 def best_sentences(text: Column, k: int) -> Column:

@@ -7,6 +7,8 @@ cluster, pass through one Arrow stage, and are grouped back by document.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,26 +27,49 @@ WRAP_JOINER = "\n "
 NULL_TEXT = "None"
 
 
-def _chunk_summaries(chunks: Column) -> Column:
-    return F.transform(chunks, lambda c: extractive_summary(c, 1))
+def _map_step(
+    df: DataFrame, keep: Sequence[str], chunks: Column, joiner: str, name: str
+) -> DataFrame:
+    """Best sentence of each chunk, joined in order. No shuffle.
+
+    Chunks and summaries are separate projections: the optimiser merges them again, but analysing
+    one deeply nested expression takes more passes than the analyser allows.
+    """
+    chunked = df.select(*keep, chunks.alias("_chunks"))
+    mapped = F.transform("_chunks", lambda c: extractive_summary(c, 1))
+    return chunked.select(
+        *keep, F.coalesce(F.array_join(mapped, joiner), F.lit("")).alias(name)
+    )
+
+
+def summary_map_reduce(
+    df: DataFrame, keep: Sequence[str], text: str, k: int = 3, **chunking: object
+) -> DataFrame:
+    """``summary``: best sentence of each recursive chunk, then the ``k`` best of those.
 
+    NULL gives ``''``.
+    """
+    chunks = chunk_recursive(F.col(text), **chunking)
+    mapped = _map_step(df, keep, chunks, SENTENCE_JOINER, "_mapped")
+    return mapped.select(*keep, extractive_summary(F.col("_mapped"), k).alias("summary"))
 
-def summary_map_reduce(text: Column, k: int = 3, **chunking: object) -> Column:
-    """Best sentence of each recursive chunk, then the ``k`` best of those; ``''`` for NULL."""
-    mapped = F.array_join(_chunk_summaries(chunk_recursive(text, **chunking)), SENTENCE_JOINER)
-    return extractive_summary(mapped, k)
 
+def summary_map_join(
+    df: DataFrame, keep: Sequence[str], text: str, **chunking: object
+) -> DataFrame:
+    """``summary``: best sentence of each separator chunk, joined in order; ``''`` for NULL."""
+    return _map_step(df, keep, chunk_separator(F.col(text), **chunking), MAP_JOINER, "summary")
 
-def summary_map_join(text: Column, **chunking: object) -> Column:
-    """Best sentence of each separator chunk, joined in order; ``''`` for NULL."""
-    mapped = _chunk_summaries(chunk_separator(text, **chunking))
-    return F.coalesce(F.array_join(mapped, MAP_JOINER), F.lit(""))
 
+def summary_wrap_join(
+    df: DataFrame, keep: Sequence[str], text: str, **chunking: object
+) -> DataFrame:
+    """``summary``: best sentence of each wrapped line, joined in order.
 
-def summary_wrap_join(text: Column, **chunking: object) -> Column:
-    """Best sentence of each wrapped line, joined in order; NULL reads as the text ``None``."""
-    mapped = _chunk_summaries(chunk_wrap(F.coalesce(text, F.lit(NULL_TEXT)), **chunking))
-    return F.array_join(mapped, WRAP_JOINER)
+    NULL reads as the text ``None``.
+    """
+    shown = F.coalesce(F.col(text), F.lit(NULL_TEXT))
+    return _map_step(df, keep, chunk_wrap(shown, **chunking), WRAP_JOINER, "summary")
 
 
 def summarize_with_model(

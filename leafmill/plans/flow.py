@@ -21,14 +21,14 @@ def summarized_documents(
         *keep,
         document_id(*(F.col(c) for c in id_parts)).alias("id"),
         clean_text(F.col(text)).alias("cleaned"),
-    )
-    return cleaned.select(
+    ).select(
         *keep,
         "id",
         F.size(chunk_separator(F.col("cleaned"))).alias("n_chunks"),
         token_count(F.col("cleaned")).alias("n_tokens"),
-        summary_map_join(F.col("cleaned")).alias("summary"),
+        "cleaned",
     )
+    return summary_map_join(cleaned, [*keep, "id", "n_chunks", "n_tokens"], "cleaned")
 
 
 def store_summaries(
@@ -43,9 +43,10 @@ def store_summaries(
 
     ``seq`` orders documents that share an id; the last one wins.
     """
-    items = df.select(
+    cleaned = df.select(
         document_id(*(F.col(c) for c in id_parts)).alias("id"),
-        summary_map_reduce(clean_text(F.col(text))).alias("summary"),
+        clean_text(F.col(text)).alias("cleaned"),
         seq,
     )
+    items = summary_map_reduce(cleaned, ["id", seq], "cleaned")
     store.upsert(items, seq, token)
