@@ -24,8 +24,8 @@ def indexed(items: Column, value: Callable[[Column], Column]) -> Column:
 
 def run_starts(sorted_items: Column, key: Callable[[Column], Column]) -> Column:
     """Zero-based positions at which ``key`` changes in a sorted array, ascending."""
-    return F.filter(
-        F.transform(sorted_items, lambda _x, i: i),
-        lambda i: (i == 0)
-        | (key(F.get(sorted_items, i)) != key(F.get(sorted_items, i - 1))),
+    changed = F.transform(
+        sorted_items,
+        lambda x, i: F.when((i == 0) | (key(x) != key(F.get(sorted_items, i - 1))), i),
     )
+    return F.array_compact(changed)

@@ -45,8 +45,8 @@ def unit_vector(counts: Column) -> Column:
     squares = F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n.cast("long") * n)
 
     def scaled(norm: Column) -> Column:
-        return F.transform(
-            counts, lambda n: F.when(norm > 0, n / norm).otherwise(F.lit(0.0)).cast("float")
+        return F.when(norm > 0, F.transform(counts, lambda n: (n / norm).cast("float"))).otherwise(
+            counts.cast("array<float>")
         )
 
     return let(F.sqrt(squares), scaled)

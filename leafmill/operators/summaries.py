@@ -27,6 +27,12 @@ WRAP_JOINER = "\n "
 NULL_TEXT = "None"
 
 
+def chunk_summaries(chunks: str, joiner: str = MAP_JOINER) -> Column:
+    """Best sentence of each chunk in a column of chunk arrays, joined in order; ``''`` for NULL."""
+    mapped = F.transform(chunks, lambda c: extractive_summary(c, 1))
+    return F.coalesce(F.array_join(mapped, joiner), F.lit(""))
+
+
 def _map_step(
     df: DataFrame, keep: Sequence[str], chunks: Column, joiner: str, name: str
 ) -> DataFrame:
@@ -36,10 +42,7 @@ def _map_step(
     one deeply nested expression takes more passes than the analyser allows.
     """
     chunked = df.select(*keep, chunks.alias("_chunks"))
-    mapped = F.transform("_chunks", lambda c: extractive_summary(c, 1))
-    return chunked.select(
-        *keep, F.coalesce(F.array_join(mapped, joiner), F.lit("")).alias(name)
-    )
+    return chunked.select(*keep, chunk_summaries("_chunks", joiner).alias(name))
 
 
 def summary_map_reduce(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.chunking import chunk_separator
 from leafmill.functions.text import clean_text, document_id, token_count
-from leafmill.operators.summaries import summary_map_join, summary_map_reduce
+from leafmill.operators.summaries import chunk_summaries, summary_map_reduce
 from leafmill.sources.store import ItemStore
 
 
@@ -21,14 +21,20 @@ def summarized_documents(
         *keep,
         document_id(*(F.col(c) for c in id_parts)).alias("id"),
         clean_text(F.col(text)).alias("cleaned"),
-    ).select(
+    )
+    chunked = cleaned.select(
         *keep,
         "id",
-        F.size(chunk_separator(F.col("cleaned"))).alias("n_chunks"),
         token_count(F.col("cleaned")).alias("n_tokens"),
-        "cleaned",
+        chunk_separator(F.col("cleaned")).alias("_chunks"),
+    )
+    return chunked.select(
+        *keep,
+        "id",
+        F.size("_chunks").alias("n_chunks"),
+        "n_tokens",
+        chunk_summaries("_chunks").alias("summary"),
     )
-    return summary_map_join(cleaned, [*keep, "id", "n_chunks", "n_tokens"], "cleaned")
 
 
 def store_summaries(
