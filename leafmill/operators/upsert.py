@@ -31,7 +31,9 @@ def collapse(
     key = list(key)
     plain = [c for c in batch.columns if c not in (*key, seq, *maps)]
     result = batch.groupBy(*key).agg(
-        F.max(seq).alias("_newest"), *(F.max_by(c, seq).alias(c) for c in plain)
+        F.max(seq).alias("_newest"),
+        *(F.max_by(c, seq).alias(c) for c in plain),
+        *(F.max(F.col(m).isNotNull()).alias(f"_has_{m}") for m in maps),
     ).drop("_newest")
     for name in maps:
         entries = batch.select(*key, seq, F.explode(name).alias("_k", "_v"))
@@ -45,7 +47,11 @@ def collapse(
         )
         renamed = folded.select(*(F.col(c).alias(f"_{c}") for c in key), name)
         same = _all([F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
-        result = result.join(renamed, same, "left").drop(*(f"_{c}" for c in key))
+        none = F.create_map().cast(batch.schema[name].dataType)
+        result = result.join(renamed, same, "left").select(
+            *(c for c in result.columns if c != f"_has_{name}"),
+            F.when(F.col(f"_has_{name}"), F.coalesce(name, none)).alias(name),
+        )
     return result
 
 
