@@ -285,22 +285,25 @@ def assemble_pages(spark, sf):
 def _extractor_outputs(spark: SparkSession, sf: str) -> DataFrame:
     """Per document: a first text for labelled ones, pages where a conversation has its number."""
     labels = _table(spark, sf, "labels")
-    turns = _table(spark, sf, "conversations")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    pages = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
-        F.transform(ordered, lambda x: x["text"]).alias("page_texts")
-    )
+    second = extraction.join_pages(
+        _table(spark, sf, "conversations"),
+        "conv_id",
+        "turn",
+        "text",
+        extraction.FALLBACK_JOINER,
+        strict=True,
+    ).select(F.col("conv_id").alias("doc_id"), F.col("text").alias("second"))
     return (
         _documents(spark, sf)
         .join(labels, "doc_id", "left")
-        .join(pages, "doc_id", "left")
+        .join(second, "doc_id", "left")
         .withColumn("first", F.when(F.col("quality").isNotNull(), F.col("text")))
         .withColumn("unreadable", F.coalesce(F.col("toxic") == 1, F.lit(False)))
     )
 
 
 def _extracted() -> Column:
-    return extraction.first_text(F.col("first"), F.col("page_texts"), F.col("unreadable"))
+    return extraction.first_text(F.col("first"), F.col("second"), F.col("unreadable"))
 
 
 def extract_fallback(spark, sf):

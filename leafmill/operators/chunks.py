@@ -17,6 +17,16 @@ def chunk_rows(df: DataFrame, keep: Sequence[str], chunks: Column) -> DataFrame:
     return df.select(*keep, F.posexplode(chunks).alias("pos", "chunk"))
 
 
+def spread_chunks(rows: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Distribute chunk rows by document and position, so that no long document fills one task.
+
+    With a number of ``partitions`` adaptive execution leaves it as it is; without one it may merge
+    small partitions, which a slow model does not want.
+    """
+    spread = [key, "pos"]
+    return rows.repartition(partitions, *spread) if partitions else rows.repartition(*spread)
+
+
 def join_chunks(rows: DataFrame, key: Sequence[str], value: str, joiner: str) -> DataFrame:
     """The inverse: values of one document in ``pos`` order, joined. Adds ``summary``.
 

@@ -56,7 +56,7 @@ def dedup_exact(
 ) -> DataFrame:
     """One row per distinct ``keys`` and ``content``: the smallest by ``order_by``, then ``row_id``.
 
-    ``row_id`` names columns that identify a row (for a Parquet table without a key, see
+    ``row_id`` names columns that identify a row and are never NULL (for a Parquet table without a key, see
     :func:`with_row_locator`). Survivors are chosen on the content's digest and the narrow columns
     alone, with map-side partial minima, so a group holding a third of all rows sends one short row
     per task. The content then moves at most once, keyed by the unique ``row_id``, which cannot be
@@ -65,16 +65,19 @@ def dedup_exact(
     group: list[Column] = [F.col(k) for k in keys]
     if content is not None:
         group.append(F.sha2(F.col(content).cast("binary"), 256).alias("_digest"))
-    ranked = F.struct(
-        *(F.col(c).alias(f"o{n}") for n, c in enumerate(order_by)),
-        *(F.col(c).alias(f"r{n}") for n, c in enumerate(row_id)),
-    )
-    survivors = (
-        df.groupBy(*group)
-        .agg(F.min(ranked).alias("_first"))
-        .select(*(F.col(f"_first.r{n}").alias(f"_r{n}") for n in range(len(row_id))))
-    )
-    same = [df[c].eqNullSafe(survivors[f"_r{n}"]) for n, c in enumerate(row_id)]
+    if not order_by and len(row_id) == 1:
+        # A plain minimum needs no sorting.
+        survivors = df.groupBy(*group).agg(F.min(row_id[0]).alias("_r0")).select("_r0")
+    else:
+        ranked = F.struct(
+            *(F.col(c).alias(f"o{n}") for n, c in enumerate(order_by)),
+            *(F.col(c).alias(f"r{n}") for n, c in enumerate(row_id)),
+        )
+        first = df.groupBy(*group).agg(F.min(ranked).alias("_first"))
+        survivors = first.select(
+            *(F.col(f"_first.r{n}").alias(f"_r{n}") for n in range(len(row_id)))
+        )
+    same = [df[c] == survivors[f"_r{n}"] for n, c in enumerate(row_id)]
     return df.join(survivors, same, "left_semi")
 
 

@@ -19,7 +19,7 @@ from leafmill.functions.chunking import (
 )
 from leafmill.functions.summary import SENTENCE_JOINER, extractive_summary
 from leafmill.models import Model, apply_model
-from leafmill.operators.chunks import chunk_rows, join_chunks
+from leafmill.operators.chunks import chunk_rows, join_chunks, spread_chunks
 
 # Fixed values.
 MAP_JOINER = " \n"
@@ -90,9 +90,7 @@ def summarize_with_model(
     does not sit in one task. A chunk that fails every try contributes ``''`` and its message is
     kept in ``error``. Documents without chunks give ``''``.
     """
-    rows = chunk_rows(df, [key], chunks)
-    spread = [key, "pos"]
-    rows = rows.repartition(partitions, *spread) if partitions else rows.repartition(*spread)
+    rows = spread_chunks(chunk_rows(df, [key], chunks), key, partitions)
     done = apply_model(rows, "chunk", "string", model, **retry)
     texts = join_chunks(
         done.select(key, "pos", F.coalesce("value", F.lit("")).alias("v")), [key], "v", joiner

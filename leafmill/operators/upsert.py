@@ -3,58 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def _merge_maps(old: Column, new: Column) -> Column:
     kept = F.map_filter(old, lambda k, _v: ~F.array_contains(F.map_keys(new), k))
     return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(F.map_concat(kept, new))
 
 
-def collapse(
-    batch: DataFrame, key: Sequence[str], seq: str, maps: Sequence[str] = ()
+def _collapse(
+    batch: DataFrame, key: Column, plain: Sequence[str], seq: str, maps: Sequence[str]
 ) -> DataFrame:
-    """One row per key, as if the batch's items were applied one by one in ``seq`` order.
-
-    The last item gives the plain columns. Of the ``maps`` columns each entry is taken from the
-    last item that has it. Both are reduced map-side before the shuffle, so a key with very many
-    items sends one row (per map entry) and task. ``seq`` is unique within a key. Each column is
-    an aggregate of its own, so that a reader who selects few columns moves only those.
-    """
-    key = list(key)
-    plain = [c for c in batch.columns if c not in (*key, seq, *maps)]
-    result = batch.groupBy(*key).agg(
+    """``_key`` and one value per column, all partitioned by ``_key``."""
+    keyed = batch.select(key.alias("_key"), seq, *plain, *maps)
+    result = keyed.groupBy("_key").agg(
         F.max(seq).alias("_newest"),
         *(F.max_by(c, seq).alias(c) for c in plain),
         *(F.max(F.col(m).isNotNull()).alias(f"_has_{m}") for m in maps),
-    ).drop("_newest")
+    )
+    result = result.drop("_newest")
     for name in maps:
-        entries = batch.select(*key, seq, F.explode(name).alias("_k", "_v"))
-        newest = entries.groupBy(*key, "_k").agg(
+        entries = keyed.select("_key", seq, F.explode(name).alias("_k", "_v"))
+        newest = entries.groupBy("_key", "_k").agg(
             F.max_by(F.struct(F.col("_v").alias("v")), F.col(seq)).alias("_s")
         )
-        folded = newest.groupBy(*key).agg(
+        folded = newest.groupBy("_key").agg(
             F.map_from_entries(
                 F.array_sort(F.collect_list(F.struct("_k", F.col("_s.v").alias("v"))))
             ).alias(name)
         )
-        renamed = folded.select(*(F.col(c).alias(f"_{c}") for c in key), name)
-        same = _all([F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
         none = F.create_map().cast(batch.schema[name].dataType)
-        result = result.join(renamed, same, "left").select(
+        result = result.join(folded, "_key", "left").select(
             *(c for c in result.columns if c != f"_has_{name}"),
             F.when(F.col(f"_has_{name}"), F.coalesce(name, none)).alias(name),
         )
     return result
 
 
+def collapse(
+    batch: DataFrame, key: Sequence[str], seq: str, maps: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key, as if the batch's items were applied one by one in ``seq`` order.
+
+    The last item gives the plain columns. Of the ``maps`` columns each entry is taken from the
+    last item that has it. Both are reduced map-side before the shuffle, so a key with very many
+    items sends one row (per map entry) and task. ``seq`` is unique within a key. Each column is
+    an aggregate of its own, so that a reader who selects few columns moves only those.
+    """
+    plain = [c for c in batch.columns if c not in (*key, seq, *maps)]
+    return _collapse(batch, F.struct(*key), plain, seq, maps).select("_key.*", *plain, *maps)
+
+
 def upsert(
     store: DataFrame,
     batch: DataFrame,
@@ -70,20 +71,19 @@ def upsert(
     Updates are a left join of the store with the collapsed batch and inserts an anti-join of the
     batch with the store's matching keys. For a batch small enough to broadcast the store is
     therefore only scanned, never shuffled, which a full outer join could not do; for a large batch
-    both joins go by key, and keys are unique on both sides, so none is hot.
+    both joins go by key, and keys are unique on both sides, so none is hot. Keys are compared as
+    one struct: that makes NULL equal NULL, and the batch stays where its aggregation put it.
     """
-    key = list(key)
-    latest = collapse(batch, key, seq, maps)
-    given = [c for c in latest.columns if c not in key]
+    plain = [c for c in batch.columns if c not in (*key, seq, *maps)]
+    given = [*plain, *maps]
+    same_types = F.struct(*(F.col(c).cast(store.schema[c].dataType).alias(c) for c in key))
+    latest = _collapse(batch, same_types, plain, seq, maps)
     hits = latest.select(
-        *(F.col(c).alias(f"_k_{c}") for c in key),
-        *(F.col(c).alias(f"_n_{c}") for c in given),
-        F.lit(True).alias("_hit"),
+        "_key", *(F.col(c).alias(f"_n_{c}") for c in given), F.lit(True).alias("_hit")
     )
-    same = _all([F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key])
 
     def value(c: str) -> Column:
-        if c in key or c not in given:
+        if c not in given:
             return F.col(c)
         new = F.col(f"_n_{c}")
         if c not in store.columns:
@@ -93,12 +93,13 @@ def upsert(
         return F.when(F.col("_hit"), new).otherwise(F.col(c)).alias(c)
 
     columns = [*store.columns, *(c for c in given if c not in store.columns)]
-    updated = store.join(hits, same, "left").select(*(value(c) for c in columns))
+    keyed = store.withColumn("_key", F.struct(*key))
+    updated = keyed.join(hits, "_key", "left").select(*(value(c) for c in columns))
 
-    keys = hits.select(*(f"_k_{c}" for c in key))
-    known = store.select(*key).join(keys, same, "left_semi")
-    known = known.select(*(F.col(c).alias(f"_k_{c}") for c in key))
-    inserted = latest.join(known, same, "left_anti")
+    known = store.select(F.struct(*key).alias("_key")).join(
+        latest.select("_key"), "_key", "left_semi"
+    )
+    inserted = latest.join(known, "_key", "left_anti").select("_key.*", *given)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 

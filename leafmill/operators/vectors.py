@@ -11,7 +11,7 @@ from leafmill.functions.chunking import chunk_separator
 from leafmill.functions.embedding import hashed_embedding
 from leafmill.functions.text import chunk_id
 from leafmill.models import Model, embed
-from leafmill.operators.chunks import chunk_rows
+from leafmill.operators.chunks import chunk_rows, spread_chunks
 from leafmill.operators.upsert import upsert
 
 VECTOR_KEY = ("namespace", "id")
@@ -28,13 +28,15 @@ def vector_records(
     metadata: Sequence[str],
     chunks: Column | None = None,
     model: Model | None = None,
+    partitions: int | None = None,
     **retry: object,
 ) -> DataFrame:
     """``(key, pos, id, values, metadata)`` per chunk; the document's metadata is repeated.
 
     ``id`` is the digest of the chunk alone, so equal chunks of two documents share it; store them
     by (``key``, ``id``) to keep both. Without a model no row leaves the JVM and there is no
-    shuffle; with one, chunks are spread by (``key``, ``pos``) and ``error`` is added.
+    shuffle; with one, chunks are spread by (``key``, ``pos``), over ``partitions`` tasks if given,
+    and ``error`` is added.
     """
     listed = chunk_separator(F.col(text)) if chunks is None else chunks
     rows = chunk_rows(df.withColumn("metadata", _metadata(metadata)), [key, "metadata"], listed)
@@ -43,8 +45,7 @@ def vector_records(
         return rows.select(
             key, "pos", "id", hashed_embedding(F.col("chunk")).alias("values"), "metadata"
         )
-    spread = rows.repartition(key, "pos")
-    done = embed(spread, "chunk", model, **retry)
+    done = embed(spread_chunks(rows, key, partitions), "chunk", model, **retry)
     return done.select(key, "pos", "id", F.col("value").alias("values"), "metadata", "error")
 
 

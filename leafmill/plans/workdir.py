@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -30,3 +30,10 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def fresh_table(name: str) -> str:
     """A table name that no other run uses."""
     return f"leafmill_{name}_{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once into the shared folder; later steps read the files, whose size is known."""
+    path = fresh_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -40,9 +40,13 @@ def run_to_table(
     return stream.sparkSession.table(table)
 
 
-def stream_table(spark: SparkSession, table: str) -> DataFrame:
-    """Unbounded rows of a table."""
-    return spark.readStream.table(table)
+def stream_table(spark: SparkSession, table: str, **limits: str) -> DataFrame:
+    """Unbounded rows of a table.
+
+    ``limits`` such as ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` cut a long backlog into
+    several micro-batches, so that a lost driver repeats only the last one.
+    """
+    return spark.readStream.options(**limits).table(table)
 
 
 def process_table(
@@ -52,9 +56,10 @@ def process_table(
     checkpoint: str,
     partition_by: str = "year_month",
     path: str | None = None,
+    **limits: str,
 ) -> DataFrame:
     """Copy the new rows of ``raw`` to ``bronze``, partitioned by month."""
-    return run_to_table(stream_table(spark, raw), bronze, checkpoint, partition_by, path)
+    return run_to_table(stream_table(spark, raw, **limits), bronze, checkpoint, partition_by, path)
 
 
 def stream_view(spark: SparkSession, table: str, view: str) -> DataFrame:
@@ -64,21 +69,27 @@ def stream_view(spark: SparkSession, table: str, view: str) -> DataFrame:
 
 
 def stream_parquet(
-    spark: SparkSession, folder: str, schema: T.StructType | str, glob: str = "*.parquet"
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    glob: str = "*.parquet",
+    **limits: str,
 ) -> DataFrame:
     """Rows of the Parquet files that arrive in ``folder``."""
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", glob).format("parquet").load(folder)
-    )
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).options(**limits)
+    return reader.format("parquet").load(folder)
 
 
-def stream_new_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
+def stream_new_files(
+    spark: SparkSession, folder: str, suffix: str = ".pdf", **limits: str
+) -> DataFrame:
     """Binary rows of the files with ``suffix`` that arrive in ``folder`` or below it."""
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
+        .options(**limits)
         .load(folder)
     )
 

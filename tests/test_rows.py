@@ -86,7 +86,9 @@ def _joined(doc, n):
 
 @pytest.mark.parametrize("block,limit", [(4096, 10), (8, 10), (8, 1), (1, 10)])
 def test_pages_join_in_order(spark, pages, block, limit):
-    got = extraction.join_pages(pages, "doc", "page", "text", block, limit)
+    got = extraction.join_pages(
+        pages, "doc", "page", "text", block=block, max_broadcast=limit
+    )
     assert {r["doc"]: r["text"] for r in got.collect()} == {
         1: _joined(1, 3), 2: _joined(2, 60), 3: _joined(3, 9), None: _joined(None, 2), 4: "x",
     }
@@ -102,6 +104,13 @@ def test_short_document_takes_the_second_text(spark):
     }
 
 
+def test_pages_of_the_second_extractor(spark, pages):
+    got = extraction.join_pages(pages, "doc", "page", "text", "\n", strict=True, block=8)
+    texts = {r["doc"]: r["text"] for r in got.collect()}
+    assert texts[2] == "\n".join(f"<2.{p}>" for p in range(60))
+    assert texts[1] == "<1.0>\n<1.1>\n<1.2>" and texts[4] is None
+
+
 def test_first_text(spark):
     rows = [
         (1, "first", ["p", "q"], False),
@@ -113,7 +122,9 @@ def test_first_text(spark):
         (7, None, [], False),
     ]
     frame = spark.createDataFrame(rows, "n int, first string, pages array<string>, bad boolean")
-    value = extraction.first_text(F.col("first"), F.col("pages"), F.col("bad"))
+    value = extraction.first_text(
+        F.col("first"), extraction.pages_text(F.col("pages")), F.col("bad")
+    )
     got = {r["n"]: r["t"] for r in frame.select("n", value.alias("t")).collect()}
     assert got == {1: "first", 2: "", 3: "p\nq", 4: None, 5: None, 6: "", 7: ""}
 
@@ -199,5 +210,7 @@ def test_extractor_slot(spark):
 
     frame = spark.createDataFrame([(b"start", "p")], "content binary, path string")
     done = models.extract(frame, "content", factory)
-    text = extraction.first_text(F.col("value.text"), F.col("value.pages"), F.col("error").isNotNull())
+    text = extraction.first_text(
+        F.col("value.text"), extraction.pages_text(F.col("value.pages")), F.col("error").isNotNull()
+    )
     assert done.select("path", text).first()[1] == "start\nend"
