@@ -125,14 +125,11 @@ def sql_select_all(spark, sf):
 def store_project_paths(spark, sf):
     schema = "id string, Filepath string, text string"
     store = ItemStore(spark, fresh_dir(spark, "store"), schema)
-    items = _documents(spark, sf).select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.col("path").alias("Filepath"),
-        "text",
-        F.col("doc_id").alias("seq"),
+    store.load(
+        _documents(spark, sf).select(
+            F.col("doc_id").cast("string").alias("id"), F.col("path").alias("Filepath"), "text"
+        )
     )
-    store.upsert(items, "seq")
-    store.compact()
     return tables.project(store.state(), "Filepath")
 
 
@@ -152,7 +149,7 @@ def lookup_by_name(spark, sf):
         "name",
         "found",
         F.sha2("content", 256).alias("digest"),
-        F.length("content").alias("n_chars"),
+        F.coalesce(F.length("content"), F.lit(0)).alias("n_chars"),
     )
 
 
@@ -166,10 +163,7 @@ def upsert_by_id(spark, sf):
 
 def truncate_store(spark, sf):
     store = ItemStore(spark, fresh_dir(spark, "store"), "id bigint, text string")
-    items = _table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), "text", F.col("doc_id").alias("seq")
-    )
-    store.upsert(items, "seq")
+    store.load(_table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
     deleted = store.delete_all()
     return store.state().agg(
         F.lit(deleted).cast("bigint").alias("deleted"), F.count("*").alias("remaining")
@@ -396,11 +390,11 @@ def stream_new_files(spark, sf):
 
 def stream_upsert(spark, sf):
     store = ItemStore(spark, fresh_dir(spark, "store"), "id bigint, text string, role string")
-    processed = _labelled(spark, sf).select(
-        F.col("doc_id").alias("id"), "text", F.lit(None).cast("string").alias("role"),
-        F.col("doc_id").alias("seq"),
+    store.load(
+        _labelled(spark, sf).select(
+            F.col("doc_id").alias("id"), "text", F.lit(None).cast("string").alias("role")
+        )
     )
-    store.upsert(processed, "seq")
     turns = flows.stream_parquet(
         spark, sf, _table(spark, sf, "conversations").schema, "conversations.parquet"
     ).select(F.col("conv_id").alias("id"), "text", "role", F.col("turn").alias("seq"))
@@ -697,7 +691,7 @@ def oracle_sql() -> dict[str, str]:
         "store_project_text": f'SELECT {_PATH} AS "Metadata", text FROM documents',
         "lookup_by_name": """
             SELECT w.name, d.doc_id IS NOT NULL AS found, sha256(d.text) AS digest,
-                length(d.text)::INT AS n_chars
+                coalesce(length(d.text), 0)::INT AS n_chars
             FROM (SELECT doc_id::VARCHAR AS name FROM labels UNION ALL SELECT url FROM pages) w
             LEFT JOIN documents d ON d.doc_id::VARCHAR = w.name""",
         "upsert_by_id": f"""

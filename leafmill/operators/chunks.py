@@ -27,11 +27,14 @@ def spread_chunks(rows: DataFrame, key: str, partitions: int | None = None) -> D
     return rows.repartition(partitions, *spread) if partitions else rows.repartition(*spread)
 
 
-def join_chunks(rows: DataFrame, key: Sequence[str], value: str, joiner: str) -> DataFrame:
-    """The inverse: values of one document in ``pos`` order, joined. Adds ``summary``.
+def join_chunks(
+    rows: DataFrame, key: Sequence[str], value: str, joiner: str, *also: Column
+) -> DataFrame:
+    """The inverse: values of one document in ``pos`` order, joined, as ``summary``.
 
-    A document's values end up in one string, so a group is bounded by what one value may hold.
+    ``also`` are further aggregates of the same grouping. A document's values end up in one string,
+    so a group is bounded by what one value may hold.
     """
     ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(value).alias("v"))))
     joined = F.array_join(F.transform(ordered, lambda x: x["v"]), joiner)
-    return rows.groupBy(*key).agg(joined.alias("summary"))
+    return rows.groupBy(*key).agg(joined.alias("summary"), *also)

@@ -33,6 +33,10 @@ def require_map_keys(
 
 
 def split_ok_failed(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Rows without and rows with an error; together they are the input."""
+    """Rows without and rows with an error; together they are the input.
+
+    Each part evaluates ``df`` when it is used. Write the rows first (``plans.workdir.written``)
+    where a costly model made them.
+    """
     ok = df.filter(F.col(error).isNull()).drop(error)
     return ok, df.filter(F.col(error).isNotNull())

@@ -92,13 +92,16 @@ def summarize_with_model(
     """
     rows = spread_chunks(chunk_rows(df, [key], chunks), key, partitions)
     done = apply_model(rows, "chunk", "string", model, **retry)
+    # One aggregation for texts and messages: a second use of ``done`` would run the model again.
     texts = join_chunks(
-        done.select(key, "pos", F.coalesce("value", F.lit("")).alias("v")), [key], "v", joiner
+        done.select(key, "pos", F.coalesce("value", F.lit("")).alias("v"), "error"),
+        [key],
+        "v",
+        joiner,
+        F.min("error").alias("error"),
     )
-    errors = done.filter(F.col("error").isNotNull()).groupBy(key).agg(F.min("error").alias("error"))
     return (
         df.select(key)
         .join(texts, key, "left")
-        .join(errors, key, "left")
         .select(key, F.coalesce("summary", F.lit("")).alias("summary"), "error")
     )

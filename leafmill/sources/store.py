@@ -2,8 +2,8 @@
 
 An upsert appends the batch as one folder of changes; it never rewrites the store. The current
 state is the newest base folder plus all later changes, merged on read by
-:func:`leafmill.operators.upsert.upsert`. ``compact`` writes that state as a new base. A folder
-counts only once Spark has put its ``_SUCCESS`` file there, so a job lost half-way leaves the state
+:func:`leafmill.operators.upsert.upsert`. ``compact`` writes that state as a new base, ``load`` a
+first one. A folder counts only once Spark has put its ``_SUCCESS`` file there, so a job lost half-way leaves the state
 as it was, and no folder that is being read is ever overwritten. One writer at a time.
 """
 
@@ -22,6 +22,7 @@ from leafmill.operators.upsert import upsert
 _VERSION = "_version"
 _SEQ = "_seq"
 _ORDER = "_order"
+_MARK_DONE = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 class ItemStore:
@@ -58,7 +59,8 @@ class ItemStore:
         return max((v for kind in ("base", "change") for v, _, _ in self._folders(kind)), default=0) + 1
 
     def _write(self, df: DataFrame, kind: str, token: str, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{kind}/{version:012d}-{token}")
+        writer = df.write.mode("overwrite").option(_MARK_DONE, "true")
+        writer.parquet(f"{self.root}/{kind}/{version:012d}-{token}")
 
     def _changes_after(self, version: int) -> list[str]:
         return [path for v, _, path in self._folders("change") if v > version]
@@ -92,13 +94,17 @@ class ItemStore:
         renamed = batch.withColumnRenamed(seq, _SEQ).withColumn(_VERSION, F.lit(version))
         self._write(renamed, "change", name, version)
 
+    def load(self, items: DataFrame) -> None:
+        """Replace the whole store by ``items``, which hold one row per key. No shuffle."""
+        whole = items.select(*self.schema.names)
+        self._write(whole, "base", uuid.uuid4().hex, self._next_version())
+
     def compact(self) -> None:
         """Write the current state as the new base."""
-        self._write(self.state(), "base", uuid.uuid4().hex, self._next_version())
+        self.load(self.state())
 
     def delete_all(self) -> int:
         """Remove every item and return how many there were."""
         count = self.state().count()
-        empty = self.spark.createDataFrame([], self.schema)
-        self._write(empty, "base", uuid.uuid4().hex, self._next_version())
+        self.load(self.spark.createDataFrame([], self.schema))
         return count

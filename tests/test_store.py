@@ -115,6 +115,14 @@ def test_store_life(spark, store):
     assert _state(store.state()) == {"new": ("x", None)}
 
 
+def test_store_load_replaces(spark, store):
+    store.upsert(_frames(spark, [("a", 1, "x", None)]), "seq")
+    store.load(spark.createDataFrame([("b", "y", {"k": "v"})], SCHEMA))
+    assert _state(store.state()) == {"b": ("y", {"k": "v"})}
+    store.upsert(_frames(spark, [("b", 1, "z", {"m": None})]), "seq")
+    assert _state(store.state()) == {"b": ("z", {"k": "v", "m": None})}
+
+
 def test_store_partial_items_and_lost_writes(spark, store, tmp_path):
     store.upsert(_frames(spark, [("a", 1, "x", {"k": "1"})]), "seq")
     only_fields = spark.createDataFrame([("a", 1, {"m": "2"})], "id string, seq int, f map<string,string>")
