@@ -692,7 +692,7 @@ def oracle_sql() -> dict[str, str]:
         "lookup_by_name": """
             SELECT w.name, d.doc_id IS NOT NULL AS found, sha256(d.text) AS digest,
                 coalesce(length(d.text), 0)::INT AS n_chars
-            FROM (SELECT doc_id::VARCHAR AS name FROM labels UNION ALL SELECT url FROM pages) w
+            FROM (SELECT doc_id::VARCHAR AS name FROM labels UNION SELECT url FROM pages) w
             LEFT JOIN documents d ON d.doc_id::VARCHAR = w.name""",
         "upsert_by_id": f"""
             SELECT coalesce(s.id, b.id) AS id,

@@ -18,7 +18,9 @@ SENTENCE_END = r"[.!?\n]+"
 WORD_GAP = r"[\t-\r ]+"
 SENTENCE_JOINER = " \n"
 
-# Words that share one slot of the in-row lookup table, on average.
+# Words looked up in one plain map, and beyond that, words that share one slot of the in-row
+# lookup table, on average.
+WORDS_PER_MAP = 128
 WORDS_PER_SLOT = 32
 
 
@@ -29,7 +31,7 @@ def sentences(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case words."""
-    return F.filter(F.split(F.lower(text), WORD_GAP), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), WORD_GAP), "")
 
 
 def _word_counts(sorted_words: Column) -> Column:
@@ -90,17 +92,25 @@ def _scores(found: Column) -> Column:
 
     def with_words(lists: Column) -> Column:
         counts = let(F.sort_array(F.flatten(lists)), _word_counts)
-        return let(counts, lambda c: let((F.size(c) / WORDS_PER_SLOT + 1).cast("int"), with_slots(lists, c)))
+        return let(counts, lambda c: with_counts(lists, c))
+
+    def with_counts(lists: Column, counts: Column) -> Column:
+        few = let(
+            F.map_from_entries(counts), lambda m: scored(lists, lambda w: F.element_at(m, w))
+        )
+        many = let((F.size(counts) / WORDS_PER_SLOT + 1).cast("int"), with_slots(lists, counts))
+        return F.when(F.size(counts) <= WORDS_PER_MAP, few).otherwise(many)
 
     def with_slots(lists: Column, counts: Column):
-        return lambda slots: let(_hash_table(counts, slots), lambda t: scored(lists, t, slots))
+        return lambda slots: let(
+            _hash_table(counts, slots),
+            lambda t: scored(lists, lambda w: F.element_at(F.get(t, _slot(w, slots)), w)),
+        )
 
-    def scored(lists: Column, table: Column, slots: Column) -> Column:
+    def scored(lists: Column, count_of) -> Column:
         def score(own: Column) -> Column:
             return F.aggregate(
-                F.array_distinct(own),
-                F.lit(0).cast("long"),
-                lambda a, w: a + F.element_at(F.get(table, _slot(w, slots)), w),
+                F.array_distinct(own), F.lit(0).cast("long"), lambda a, w: a + count_of(w)
             )
 
         return F.transform(lists, lambda own, i: F.struct((-score(own)).alias("order"), i.alias("i")))

@@ -46,18 +46,19 @@ def project_or_empty(spark: SparkSession, table: str, *fields: str) -> DataFrame
 def lookup(
     requests: DataFrame, store: DataFrame, name: str, store_name: str, content: str
 ) -> DataFrame:
-    """Point reads by name: ``(name, content, found, error)`` for each row of ``requests``.
+    """Point reads by name: ``(name, content, found, error)`` per distinct name in ``requests``.
 
-    ``store`` has one row per name. It is first reduced to the requested names, so a short request
-    list is broadcast and the contents that nobody asked for are not shuffled.
+    ``store`` has one row per name. Requests are made distinct map-side, so a name asked for very
+    often costs one row. The store is reduced to the requested names first: a short request list is
+    broadcast, and contents that nobody asked for are never shuffled. Both joins go by name and
+    share one exchange per side.
     """
-    wanted = requests.select(F.col(name).alias("_wanted")).distinct()
-    hits = store.join(wanted, store[store_name] == wanted["_wanted"], "left_semi").select(
-        F.col(store_name).alias("_name"), F.col(content).alias("content"), F.lit(True).alias("_hit")
-    )
-    return requests.join(hits, requests[name] == hits["_name"], "left").select(
-        F.col(name).alias("name"),
+    wanted = requests.select(F.col(name).alias("name")).distinct()
+    named = store.select(F.col(store_name).alias("name"), F.col(content).alias("content"))
+    hits = named.join(wanted, "name", "left_semi").withColumn("_hit", F.lit(True))
+    return wanted.join(hits, "name", "left").select(
+        "name",
         "content",
         F.coalesce("_hit", F.lit(False)).alias("found"),
-        F.when(F.col(name).isNull(), "missing name").alias("error"),
+        F.when(F.col("name").isNull(), "missing name").alias("error"),
     )

@@ -144,7 +144,6 @@ def test_lookup(spark):
     got = tables.lookup(wanted, store, "w", "n", "c").collect()
     assert sorted(((r["name"], r["content"], r["found"], r["error"]) for r in got), key=str) == sorted(
         [
-            ("a", bytearray(b"1"), True, None),
             ("a", bytearray(b"1"), True, None),
             ("x", None, False, None),
             (None, None, False, "missing name"),

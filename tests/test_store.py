@@ -172,6 +172,8 @@ def test_files(spark, tmp_path):
     scanned = files.scan_files(spark, root)
     assert scanned.schema == files.BINARY_SCHEMA
     assert sorted(bytes(r["content"]) for r in scanned.collect()) == [b"four", b"one"]
+    assert names(files.list_files(spark, root, modified_after="2020-01-01T00:00:00")) == ["a.pdf", "d.pdf"]
+    assert names(files.list_files(spark, root, modified_after="2199-01-01T00:00:00")) == []
     fits, over = files.split_by_size(scanned, 3)
     assert names(fits) == ["a.pdf"]
     assert [(r["length"], r["error"]) for r in over.collect()] == [(4, "file too large")]
