@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,41 +19,55 @@ def word_bucket(word: Column) -> Column:
     return F.conv(F.substring(F.md5(word), 1, 2), 16, 10).cast("int")
 
 
-def bucket_counts(text: Column) -> Column:
-    """``array<int>`` of 256 word counts.
-
-    Every bucket number is added once, so that sorting leaves exactly one run per bucket; a run's
-    length less one is the count.
-    """
-    every = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
-    hits = F.transform(words(text), word_bucket)
+def _sparse_counts(text: Column) -> Column:
+    """``array<struct<b, n>>``: the buckets that occur, ascending, with their word counts."""
+    hits = F.sort_array(F.transform(words(text), word_bucket))
 
-    def counts(ordered: Column) -> Column:
+    def runs(ordered: Column) -> Column:
         return let(
-            run_starts(ordered, lambda x: x),
+            run_starts(ordered, lambda b: b),
             lambda starts: F.transform(
                 starts,
-                lambda b, k: (
-                    F.coalesce(F.get(starts, k + 1), F.size(ordered)) - b - 1
-                ).cast("int"),
+                lambda at, k: F.struct(
+                    F.get(ordered, at).alias("b"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at).alias("n"),
+                ),
             ),
         )
 
-    return let(F.sort_array(F.concat(every, F.coalesce(hits, F.array().cast("array<int>")))), counts)
+    return let(F.coalesce(hits, F.array().cast("array<int>")), runs)
 
 
-def unit_vector(counts: Column) -> Column:
-    """Counts divided by their Euclidean length, as ``array<float>``; all zeros stay zeros."""
-    squares = F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n.cast("long") * n)
+def _dense(sparse: Column, value: Callable[[Column], Column], zero: Column) -> Column:
+    """All buckets in order: gaps between the occurring ones are filled with ``zero``."""
+
+    def bucket(k: Column) -> Column:
+        return F.coalesce(F.get(sparse, k)["b"], F.lit(-1))
+
+    def with_gap(e: Column, k: Column) -> Column:
+        return F.array_append(F.array_repeat(zero, e["b"] - bucket(k - 1) - 1), value(e))
+
+    tail = F.array_repeat(zero, F.lit(BUCKETS - 1) - bucket(F.size(sparse) - 1))
+    return F.concat(F.flatten(F.transform(sparse, with_gap)), tail)
 
-    def scaled(norm: Column) -> Column:
-        return F.when(norm > 0, F.transform(counts, lambda n: (n / norm).cast("float"))).otherwise(
-            counts.cast("array<float>")
-        )
 
-    return let(F.sqrt(squares), scaled)
+def bucket_counts(text: Column) -> Column:
+    """``array<int>`` of 256 word counts; all zero for NULL."""
+    return let(_sparse_counts(text), lambda s: _dense(s, lambda e: e["n"], F.lit(0)))
 
 
 def hashed_embedding(text: Column) -> Column:
-    """Embedding of a text as a unit vector of hashed word counts."""
-    return let(bucket_counts(text), unit_vector)
+    """``array<float>``: word counts divided by their Euclidean length; zeros without words."""
+
+    def unit(sparse: Column) -> Column:
+        squares = F.aggregate(
+            sparse, F.lit(0).cast("long"), lambda a, e: a + e["n"].cast("long") * e["n"]
+        )
+        return let(
+            F.sqrt(squares),
+            lambda norm: _dense(
+                sparse, lambda e: (e["n"] / norm).cast("float"), F.lit(0.0).cast("float")
+            ),
+        )
+
+    return let(_sparse_counts(text), unit)

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Join without sorting where every partition of the smaller side is known to fit.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Long column expressions are built twice as fast without a call site for every operator.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
