@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.binding import let
 
+# The fields of a path, in order.
+PATH_FIELDS = ("item", "category", "author", "title", "filetype")
+
 
 def has_suffix(path: Column, suffix: str) -> Column:
     """Case-sensitive test of the end of the path."""

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.chunking import chunk_separator
+from leafmill.functions.paths import PATH_FIELDS, path_fields
 from leafmill.functions.text import clean_text, document_id, token_count
+from leafmill.models import Model, extract
+from leafmill.operators.extraction import first_text, pages_text
 from leafmill.operators.summaries import chunk_summaries, summary_map_reduce
 from leafmill.sources.store import ItemStore
 
@@ -37,6 +40,52 @@ def summarized_documents(
     )
 
 
+def items_from_files(
+    files: DataFrame,
+    extractor: Model,
+    id_parts: Sequence[str] = ("item", "category", "author", "title", "filetype"),
+    k: int = 3,
+    keep: Sequence[str] = (),
+    **retry: object,
+) -> DataFrame:
+    """Store items of binary file rows: ``(id, Filepath, Metadata, text, summary, error)``.
+
+    ``extractor`` turns the contents into ``{"text": ..., "pages": [...]}``, see
+    :func:`leafmill.models.extract`; its text is taken, else its pages joined. ``id`` is made of
+    the path's fields, which are also the metadata. A file that cannot be read keeps its message
+    and gets an empty summary. The extractor runs once per file, everything after it is native.
+    ``keep`` names further columns to pass through.
+    """
+    read = extract(files.select("path", "content", *keep), "content", extractor, **retry)
+    texts = read.select(
+        "path",
+        *keep,
+        path_fields(F.col("path")).alias("fields"),
+        first_text(
+            F.col("value.text"), pages_text(F.col("value.pages")), F.lit(False)
+        ).alias("text"),
+        "error",
+    )
+    metadata = F.create_map(
+        *(x for c in PATH_FIELDS for x in (F.lit(c), F.col(f"fields.{c}")))
+    )
+    items = texts.select(
+        document_id(*(F.col(f"fields.{c}") for c in id_parts)).alias("id"),
+        F.col("path").alias("Filepath"),
+        metadata.alias("Metadata"),
+        clean_text(F.col("text")).alias("text"),
+        "error",
+        *keep,
+    )
+    return summary_map_reduce(items, items.columns, "text", k)
+
+
+ITEM_SCHEMA = (
+    "id string, Filepath string, Metadata map<string,string>, text string, summary string, "
+    "error string"
+)
+
+
 def store_summaries(
     df: DataFrame,
     store: ItemStore,

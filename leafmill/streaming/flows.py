@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from leafmill.models import Model
+from leafmill.plans.flow import items_from_files
 from leafmill.sources.files import BINARY_SCHEMA
 from leafmill.sources.store import ItemStore
 
@@ -118,3 +121,30 @@ def upsert_stream(
         .start()
     )
     query.awaitTermination()
+
+
+def summarize_new_files(
+    spark: SparkSession,
+    folder: str,
+    extractor: Model,
+    store: ItemStore,
+    checkpoint: str,
+    name: str,
+    suffix: str = ".pdf",
+    limits: dict[str, str] | None = None,
+    **options: object,
+) -> None:
+    """Every new file of ``folder`` becomes an item of ``store``; run it whenever files arrive.
+
+    ``store`` has the columns of :data:`leafmill.plans.flow.ITEM_SCHEMA`. Of two files with one id
+    the one modified last wins. ``options`` go to :func:`leafmill.plans.flow.items_from_files`.
+    A file too large for one value fails the run; ``sources.files.split_by_size`` finds those.
+    """
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        items = items_from_files(batch, extractor, keep=["modificationTime"], **options)
+        order = F.struct("modificationTime", "Filepath")
+        return items.withColumn("order", order).drop("modificationTime")
+
+    stream = stream_new_files(spark, folder, suffix, **(limits or {}))
+    upsert_stream(stream, store, "order", checkpoint, name, prepare)

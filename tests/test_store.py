@@ -6,7 +6,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.operators import quarantine, upsert, vectors
+from leafmill.operators import filters, quarantine, upsert, vectors
 from leafmill.plans import flow, ingest, parallel, workdir
 from leafmill.sources import files, tables
 from leafmill.sources.store import ItemStore
@@ -258,6 +258,47 @@ def test_stream_upsert_survives_a_repeated_batch(spark, tmp_path):
     assert run() == expected
 
 
+def test_new_files_become_items(spark, tmp_path):
+    def extractor():
+        def call(items):
+            out = []
+            for content in items:
+                data = bytes(content)
+                if data == b"broken":
+                    raise ValueError("not a document")
+                out.append({"text": None, "pages": [data.decode(), "Last page."]})
+            return out
+
+        return call
+
+    source = tmp_path / "in"
+    store = ItemStore(spark, f"file://{tmp_path}/store", flow.ITEM_SCHEMA, maps=["Metadata"])
+
+    def run():
+        flows.summarize_new_files(
+            spark, f"file://{source}", extractor, store, f"file://{tmp_path}/cp", "files",
+            tries=1, pause=0.0,
+        )
+        return {r["Metadata"]["title"]: r for r in store.state().collect()}
+
+    folder = source / "journal" / "law" / "doe"
+    _write(folder, one__pdf="Été one".encode(), two__pdf=b"broken", three__txt=b"no")
+    items = run()
+    assert set(items) == {"one", "two"}
+    assert items["one"]["text"] == "t  one\nLast page."
+    assert items["one"]["summary"] == "t  one"
+    assert items["one"]["Metadata"] == {
+        "item": "journal", "category": "law", "author": "doe", "title": "one", "filetype": "pdf",
+    }
+    assert items["two"]["summary"] == "" and items["two"]["error"] == "ValueError: not a document"
+    _write(folder, four__pdf=b"Four.")
+    assert set(run()) == {"one", "two", "four"}
+    done = filters.unprocessed(
+        files.list_files(spark, f"file://{source}"), store.state(), "path", "Filepath"
+    )
+    assert done.count() == 0
+
+
 def test_spread_only_when_too_few_splits(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
     one = parallel.spread(spark.read.parquet(str(tmp_path / "one")), "id")
