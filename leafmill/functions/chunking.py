@@ -241,7 +241,8 @@ def chunk_recursive(
     Each piece keeps the separator before it. Runs of short pieces are packed greedily with
     ``overlap``; runs do not reach across a long piece. The empty separator, last in the default
     list, cuts at fixed width. With ``stripped=False`` and ``overlap=0`` the chunks concatenate
-    back to the text.
+    back to the text. Each separator nests the expression deeper: more than seven need a larger
+    ``spark.sql.analyzer.maxIterations``.
     """
     _check(size, overlap)
     if size < 2 or not seps:

@@ -34,8 +34,9 @@ def unprocessed(
 
     Where ``done`` is small Spark broadcasts it and the listing is not moved. Otherwise both sides
     are shuffled by name and salt: ``done`` is reduced to distinct names first, and a name held by
-    a large part of the listing is spread over ``salts`` tasks, which adaptive execution may split
-    further.
+    a large part of the listing is spread over ``salts`` tasks. Adaptive execution may split those
+    further, but cannot be relied on alone: it goes by compressed size, and rows with one name
+    tend to be copies, which compress well.
     """
     names = (
         done.select(F.col(done_on or on).alias("_name"))
