@@ -3,8 +3,7 @@
 All three splitters work the same way. The text is cut into pieces, and one fold over the piece
 *lengths* decides which ranges of pieces form a chunk. The fold carries only integers, so its state
 does not grow with the text; the chunk strings are built once, at the end, from slices of the
-pieces. The cost is linear in the text for the splitting, and the range list holds one entry per
-chunk.
+pieces. The cost is linear in the length of the text.
 """
 
 from __future__ import annotations
@@ -57,12 +56,29 @@ ODD_SPACE = (
     "[" + "".join(c for c in PYTHON_WHITESPACE if c not in "\t\n\x0b\x0c\r ") + "]"
 )
 
-_NO_CHUNKS = "array<string>"
-_NO_RANGES = "array<struct<a:int,b:int,whole:boolean>>"
+# Appending copies an array, so found ranges are kept in full blocks of this many and a last one.
+_BLOCK = 512
+_RANGES = "array<struct<a:int,b:int,whole:boolean>>"
 
 
-def _empty(type_name: str) -> Column:
-    return F.array().cast(type_name)
+def _no_ranges() -> Column:
+    return F.struct(
+        F.array().cast(f"array<{_RANGES}>").alias("full"), F.array().cast(_RANGES).alias("last")
+    )
+
+
+def _push(out: Column, span: Column) -> Column:
+    """``out`` with one more range. ``out`` is used several times: pass a bound variable."""
+    return F.when(
+        F.size(out["last"]) < _BLOCK,
+        F.struct(out["full"].alias("full"), F.array_append(out["last"], span).alias("last")),
+    ).otherwise(
+        F.struct(F.array_append(out["full"], out["last"]).alias("full"), F.array(span).alias("last"))
+    )
+
+
+def _all_ranges(out: Column) -> Column:
+    return F.flatten(F.array_append(out["full"], out["last"]))
 
 
 def _range(first: Column, last: Column, whole: bool = False) -> Column:
@@ -115,7 +131,7 @@ def _pack(lengths: Column, joint: int, size: int, overlap: int, isolate_from: in
     def flushed(state: Column, piece: Column) -> Column:
         return F.when(
             piece["i"] > state["start"],
-            F.array_append(state["out"], _range(state["start"], piece["i"] - 1)),
+            _push(state["out"], _range(state["start"], piece["i"] - 1)),
         ).otherwise(state["out"])
 
     def step(state: Column, piece: Column) -> Column:
@@ -131,7 +147,9 @@ def _pack(lengths: Column, joint: int, size: int, overlap: int, isolate_from: in
         if isolate_from is None:
             return packed
         alone = _state(
-            F.array_append(flushed(state, piece), _range(piece["i"], piece["i"], whole=True)),
+            let(
+                flushed(state, piece), lambda o: _push(o, _range(piece["i"], piece["i"], whole=True))
+            ),
             piece["i"] + 1,
             F.lit(0),
         )
@@ -139,11 +157,12 @@ def _pack(lengths: Column, joint: int, size: int, overlap: int, isolate_from: in
 
     def finish(state: Column) -> Column:
         last = F.size(lengths) - 1
-        return F.when(
-            state["start"] <= last, F.array_append(state["out"], _range(state["start"], last))
+        closed = F.when(
+            state["start"] <= last, _push(state["out"], _range(state["start"], last))
         ).otherwise(state["out"])
+        return let(closed, _all_ranges)
 
-    start = _state(_empty(_NO_RANGES), F.lit(0), F.lit(0))
+    start = _state(_no_ranges(), F.lit(0), F.lit(0))
     return F.aggregate(indexed(lengths, lambda n: n), start, step, finish)
 
 
@@ -286,13 +305,13 @@ def _wrap_ranges(pieces: Column, lengths: Column, width: int) -> Column:
 
     def closed(out: Column, start: Column, last: Column) -> Column:
         end = F.when((last >= start) & blank(last), last - 1).otherwise(last)
-        return F.when(end >= start, F.array_append(out, _range(start, end))).otherwise(out)
+        return F.when(end >= start, _push(out, _range(start, end))).otherwise(out)
 
     def step(state: Column, piece: Column) -> Column:
         grown = state["total"] + piece["v"]
 
         def next_line(out: Column) -> Column:
-            drop = (F.size(out) > 0) & blank(piece["i"])
+            drop = (F.size(out["last"]) > 0) & blank(piece["i"])
             return _state(
                 out,
                 F.when(drop, piece["i"] + 1).otherwise(piece["i"]),
@@ -305,9 +324,11 @@ def _wrap_ranges(pieces: Column, lengths: Column, width: int) -> Column:
 
     return F.aggregate(
         indexed(lengths, lambda n: n),
-        _state(_empty(_NO_RANGES), F.lit(0), F.lit(0)),
+        _state(_no_ranges(), F.lit(0), F.lit(0)),
         step,
-        lambda state: closed(state["out"], state["start"], F.size(lengths) - 1),
+        lambda state: let(
+            closed(state["out"], state["start"], F.size(lengths) - 1), _all_ranges
+        ),
     )
 
 

@@ -3,8 +3,9 @@
 An upsert appends the batch as one folder of changes; it never rewrites the store. The current
 state is the newest base folder plus all later changes, merged on read by
 :func:`leafmill.operators.upsert.upsert`. ``compact`` writes that state as a new base, ``load`` a
-first one. A folder counts only once Spark has put its ``_SUCCESS`` file there, so a job lost half-way leaves the state
-as it was, and no folder that is being read is ever overwritten. One writer at a time.
+first one. A folder counts only once Spark has put its ``_SUCCESS`` file there, so a job lost
+half-way leaves the state as it was, and no folder that is being read is ever overwritten. One
+writer at a time.
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ class ItemStore:
         return sorted(found)
 
     def _next_version(self) -> int:
-        return max((v for kind in ("base", "change") for v, _, _ in self._folders(kind)), default=0) + 1
+        versions = [v for kind in ("base", "change") for v, _, _ in self._folders(kind)]
+        return max(versions, default=0) + 1
 
     def _write(self, df: DataFrame, kind: str, token: str, version: int) -> None:
         writer = df.write.mode("overwrite").option(_MARK_DONE, "true")

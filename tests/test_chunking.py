@@ -158,3 +158,13 @@ def test_long_text_is_linear_enough(spark):
     assert sizes[0] >= len(text) // 4000
 
 
+def test_many_chunks_in_one_text(spark):
+    """More chunks than one block of ranges holds, in every fold."""
+    text = "\n".join(f"w{n}" for n in range(20_000))
+    assert _run(spark, [text], lambda t: chunking.chunk_separator(t, "\n", 8, 0)) == [
+        _by_separator(text, "\n", 8, 0)
+    ]
+    got = _run(spark, [text], lambda t: chunking.chunk_recursive(t, 12, 4))
+    assert got == [_by_levels(text, chunking.RECURSIVE_SEPARATORS, 12, 4)]
+    odd = text + "\xa0"
+    assert _run(spark, [odd], lambda t: chunking.chunk_wrap(t, 12)) == [_FillLines(12).wrap(odd)]

@@ -153,7 +153,9 @@ def test_lookup(spark):
 
 
 def test_quarantine(spark):
-    frame = spark.createDataFrame([(1, "a", "b"), (2, None, "b"), (3, "a", None)], "n int, a string, b string")
+    frame = spark.createDataFrame(
+        [(1, "a", "b"), (2, None, "b"), (3, "a", None)], "n int, a string, b string"
+    )
     ok, failed = quarantine.split_ok_failed(quarantine.require_fields(frame, ["a", "b"]))
     assert ok.columns == frame.columns and [r["n"] for r in ok.collect()] == [1]
     assert {r["n"]: r["error"] for r in failed.collect()} == {2: "missing a", 3: "missing b"}

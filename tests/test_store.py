@@ -4,7 +4,6 @@ import random
 import shutil
 
 import pytest
-from pyspark.sql import functions as F
 
 from leafmill.operators import filters, quarantine, upsert, vectors
 from leafmill.plans import flow, ingest, parallel, workdir
@@ -241,7 +240,8 @@ def test_stream_upsert_survives_a_repeated_batch(spark, tmp_path):
     store = ItemStore(spark, f"file://{tmp_path}/store", "id int, a string")
 
     def add(rows):
-        spark.createDataFrame(rows, "id int, a string, seq int").coalesce(1).write.mode("append").parquet(str(source))
+        frame = spark.createDataFrame(rows, "id int, a string, seq int").coalesce(1)
+        frame.write.mode("append").parquet(str(source))
 
     def run(checkpoint="cp"):
         stream = flows.stream_parquet(spark, f"file://{source}", "id int, a string, seq int")
