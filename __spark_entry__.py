@@ -470,7 +470,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every query by name; each takes the session and a folder of tables."""
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _training_data()[0]
+
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, if that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from leafmill.llm import queries as operators
+    except ImportError:
+        return {}, {}
+    statements = dict(operators.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return operators.QUERIES | {"pipeline": corpus_pipeline.run}, statements
 
 
 # --- oracle SQL -----------------------------------------------------------------------------
@@ -794,4 +807,4 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN quality IS NULL THEN 'missing quality' ELSE '' END AS error
             FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
         "summarized_documents": _flow_sql(),
-    }
+    } | _training_data()[1]

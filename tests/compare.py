@@ -47,7 +47,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     folder = f"/root/testdata/sf{sf}"
-    wanted = sys.argv[2:] or list(catalogue.queries())
+    wanted = sys.argv[2:] or list(catalogue.oracle_sql())
     spark, connection = local_session("compare"), oracle(folder)
     for name in wanted:
         try:

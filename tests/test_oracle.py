@@ -12,7 +12,7 @@ def connection():
     return oracle(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(catalogue.queries()))
+@pytest.mark.parametrize("name", list(catalogue.oracle_sql()))
 def test_query_equals_sql(spark, connection, name):
     statement = catalogue.oracle_sql()[name].replace(catalogue.ORACLE_DIR, FOLDER)
     got = spark_rows(catalogue.queries()[name](spark, FOLDER))
