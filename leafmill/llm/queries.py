@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, packing
+from leafmill.llm import bpe, langid, packing, quality, secrets, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -17,6 +17,25 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo the divisor: the contracts' folds."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op1_toxicity(spark, sf):
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    machine = toxicity.fit(docs, labels.where(_remainder(4) != 2))
+    scored = toxicity.score(docs, machine).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id",
+        (_remainder(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "word",
+        "sentence",
+    )
+
+
 def op3_packing(spark, sf):
     packed = packing.pack_documents(
         _table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY), size=1024
@@ -24,14 +43,48 @@ def op3_packing(spark, sf):
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op4_language(spark, sf):
+    docs = _table(spark, sf, "documents")
+    known = docs.where((_remainder(5) != 0) & F.col("lang").isNotNull())
+    found = langid.predict(docs, langid.fit(known)).withColumnRenamed("id", "doc_id")
+    held_out = (_remainder(5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "languages")
+
+
 def op6_bpe(spark, sf):
     done = bpe.round_trip(_table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
     return done.withColumnRenamed("id", "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_packing": op3_packing,
-    "op6_bpe": op6_bpe,
-}
+def op9_quality(spark, sf):
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    judged = quality.judge(docs, quality.fit(docs, labels))
+    return judged.withColumnRenamed("id", "doc_id")
+
+
+def _span_list(name: str):
+    """Spans as ``kind:start:end``, joined by commas."""
+    shown = F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.concat_ws(",", shown)
+
+
+def op10_secrets(spark, sf):
+    docs = _table(spark, sf, "documents")
+    found = secrets.find(docs, secrets.fit(docs)).withColumnRenamed("id", "doc_id")
+    kinds = F.col("base.kind")
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in ("assign", "access", "hex")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_span_list("base"), 256).alias("base_sha256"),
+        _span_list("spans").alias("spans"),
+    )
+
+
+_ALL = [op1_toxicity, op3_packing, op4_language, op6_bpe, op9_quality, op10_secrets]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
