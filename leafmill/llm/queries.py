@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, langid, packing, quality, secrets, toxicity
+from leafmill.llm import bpe, fingerprints, langid, packing, quality, secrets, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -36,6 +36,11 @@ def op1_toxicity(spark, sf):
     )
 
 
+def op2_fingerprints(spark, sf):
+    compared = fingerprints.neighbours(_table(spark, sf, "documents"))
+    return compared.withColumnRenamed("id", "doc_id")
+
+
 def op3_packing(spark, sf):
     packed = packing.pack_documents(
         _table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY), size=1024
@@ -84,7 +89,7 @@ def op10_secrets(spark, sf):
     )
 
 
-_ALL = [op1_toxicity, op3_packing, op4_language, op6_bpe, op9_quality, op10_secrets]
+_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op6_bpe, op9_quality, op10_secrets]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
