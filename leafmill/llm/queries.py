@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, fingerprints, langid, packing, quality, secrets, toxicity
+from leafmill.llm import bpe, fingerprints, jaccard, langid, packing, quality, secrets, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -56,6 +56,11 @@ def op4_language(spark, sf):
     return found.select("doc_id", held_out, "lang_pred", "score", "languages")
 
 
+def op5_jaccard(spark, sf):
+    joined = jaccard.join_components(_table(spark, sf, "documents"))
+    return joined.withColumnRenamed("id", "doc_id")
+
+
 def op6_bpe(spark, sf):
     done = bpe.round_trip(_table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
     return done.withColumnRenamed("id", "doc_id")
@@ -89,7 +94,7 @@ def op10_secrets(spark, sf):
     )
 
 
-_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op6_bpe, op9_quality, op10_secrets]
+_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op5_jaccard, op6_bpe, op9_quality, op10_secrets]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
