@@ -157,7 +157,7 @@ def _prefix_rows(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     return map_rows(texts, run, "key long, node long, size int")
 
 
-def _wanted_filter(nodes: DataFrame, column: str) -> np.ndarray:
+def wanted_filter(nodes: DataFrame, column: str) -> np.ndarray:
     """A table of ``WANTED_BITS`` bits with those of the given nodes set, whatever their number."""
     bit = F.pmod(F.col(column), F.lit(WANTED_BITS))
     words = (
@@ -197,7 +197,7 @@ def _arrays(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
 def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that are similar enough, by intersecting their sorted arrays."""
     nodes = pairs.select("a").union(pairs.select("b"))
-    arrays = _arrays(texts, _wanted_filter(nodes, "a"))
+    arrays = _arrays(texts, wanted_filter(nodes, "a"))
     held = pairs.join(arrays.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
     held = held.join(arrays.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
 
