@@ -36,6 +36,14 @@ def ship(spark: SparkSession) -> None:
     context._leafmill_shipped = True
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of a query when it has ended.
+
+    The multi-step operators write what they need again, so the files of earlier steps are waste.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator works on, as ``id`` and ``text``."""
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

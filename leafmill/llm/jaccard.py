@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import id_text, id_type, map_rows, small_batches
+from leafmill.llm.common import id_text, id_type, map_rows, small_batches, tidy
 from leafmill.llm.graph import components
 from leafmill.plans.workdir import written
 
@@ -290,6 +290,7 @@ def join_components(
     of its component, or NULL. Two different shingles or sets with one 64-bit hash count as equal.
     """
     spark, kind = df.sparkSession, id_type(df, id_col)
+    tidy(spark)
     texts = id_text(df, id_col, text_col)
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, chaining, fingerprints, jaccard, langid, packing, quality, secrets, toxicity
+from leafmill.llm import bpe, chaining, fingerprints, jaccard, langid, packing, quality, secrets, suffixes, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -71,6 +71,11 @@ def op7_substrings(spark, sf):
     return found.withColumnsRenamed({"id": "doc_id", "other": "other_doc_id"})
 
 
+def op8_suffixes(spark, sf):
+    done = suffixes.deduplicate(_table(spark, sf, "documents")).drop("kept")
+    return done.withColumnRenamed("id", "doc_id")
+
+
 def op9_quality(spark, sf):
     docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
     judged = quality.judge(docs, quality.fit(docs, labels))
@@ -99,7 +104,7 @@ def op10_secrets(spark, sf):
     )
 
 
-_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op5_jaccard, op6_bpe, op7_substrings, op9_quality, op10_secrets]
+_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op5_jaccard, op6_bpe, op7_substrings, op8_suffixes, op9_quality, op10_secrets]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
