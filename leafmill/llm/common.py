@@ -53,7 +53,7 @@ def id_type(df: DataFrame, id_col: str) -> str:
     return df.schema[id_col].dataType.simpleString()
 
 
-def map_rows(df: DataFrame, make: Callable, schema: str) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable, schema) -> DataFrame:
     """``mapInArrow`` with a function from an iterator of batches to an iterator of batches."""
     ship(df.sparkSession)
     return df.mapInArrow(make, schema)
@@ -80,3 +80,24 @@ def small_batches(
 
 def arrow_schema(fields: list[tuple[str, pa.DataType]]) -> pa.Schema:
     return pa.schema([pa.field(name, kind) for name, kind in fields])
+
+
+def rewrite(df: DataFrame, change: Callable, text_col: str) -> DataFrame:
+    """All columns of ``df`` with texts changed and rows left out.
+
+    ``change`` is called once per task and returns a function from a list of texts to new texts
+    (None: as they are) and a list of flags for the rows that stay.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        act = change()
+        for batch in small_batches(batches, text_col):
+            at = batch.schema.get_field_index(text_col)
+            texts, stay = act(batch.column(at).to_pylist())
+            if texts is not None:
+                columns = list(batch.columns)
+                columns[at] = pa.array(texts, batch.schema.field(at).type)
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield batch.filter(pa.array(stay, pa.bool_()))
+
+    return map_rows(df, run, df.schema)

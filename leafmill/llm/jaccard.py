@@ -277,21 +277,12 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
-def join_components(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``id, n_shingles, component_id, n_links`` per row.
-
-    ``component_id`` is the smallest id among the rows that can be reached by links, the row's own
-    included; ``n_links`` counts the links checked between the row's class and other classes (not
-    all that there are: pairs known to be connected are not compared). A NULL, empty or blank text
-    has an empty set and is linked with nothing: its component is its own id. Rows of equal sets are
-    linked. Repeated rows and ids are kept; a row with a NULL id gets the smallest id of the others
-    of its component, or NULL. Two different shingles or sets with one 64-bit hash count as equal.
-    """
+def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``id, row, n_shingles, node`` of all rows (``row``: hash of the text), and ``node, component,
+    n_links`` of the nodes that have a link."""
     spark, kind = df.sparkSession, id_type(df, id_col)
     tidy(spark)
-    texts = id_text(df, id_col, text_col)
+    texts = id_text(df, id_col, text_col).withColumn("row", F.xxhash64("text"))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -305,14 +296,15 @@ def join_components(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(maps, pa.binary()),
                 ],
-                ["id", "n_shingles", "node", "bitmap"],
+                ["id", "row", "n_shingles", "node", "bitmap"],
             )
 
-    schema = f"id {kind}, n_shingles long, node long, bitmap binary"
+    schema = f"id {kind}, row long, n_shingles long, node long, bitmap binary"
     docs = written(spark, map_rows(texts, classes, schema), "jaccard")
     bitmaps = docs.where("bitmap IS NOT NULL").select("node", "bitmap").dropDuplicates(["node"])
 
@@ -355,12 +347,27 @@ def join_components(
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("n_links"))
     )
+    return docs.drop("bitmap"), found.join(degree, "node", "left")
+
+
+def join_components(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id, n_shingles, component_id, n_links`` per row.
+
+    ``component_id`` is the smallest id among the rows that can be reached by links, the row's own
+    included; ``n_links`` counts the links checked between the row's class and other classes (not
+    all that there are: pairs known to be connected are not compared). A NULL, empty or blank text
+    has an empty set and is linked with nothing: its component is its own id. Rows of equal sets are
+    linked. Repeated rows and ids are kept; a row with a NULL id gets the smallest id of the others
+    of its component, or NULL. Two different shingles or sets with one 64-bit hash count as equal.
+    """
+    docs, found = _classes(df, id_col, text_col)
     # The smallest id of each class, then of each component of classes.
     least = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     named = (
         least.join(found, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
-        .join(degree, "node", "left")
     )
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(lowest, "component").select("node", "component_id", "n_links")
@@ -370,3 +377,33 @@ def join_components(
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, of which one stays for each component.
+
+    That of the smallest id stays (NULL ids last, then the smaller hash of the text). Rows without a
+    word are linked with nothing and all stay; of equal rows with words one stays.
+    """
+    docs, found = _classes(df, id_col, text_col)
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    chosen = (
+        docs.where("node IS NOT NULL")
+        .join(found.select("node", "component"), "node", "left")
+        .groupBy(F.coalesce("component", "node").alias("component"))
+        .agg(F.min(order).alias("kept"))
+    )
+    kept = chosen.select(F.col("kept.id").alias("leafmill_id"), F.col("kept.row").alias("leafmill_row"))
+    marked = df.withColumn("leafmill_of", F.xxhash64(F.col(text_col).cast("string")))
+    blank = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    with_words = (
+        marked.where(~blank)
+        .join(
+            kept,
+            F.col(id_col).eqNullSafe(F.col("leafmill_id"))
+            & (F.col("leafmill_of") == F.col("leafmill_row")),
+            "left_semi",
+        )
+        .dropDuplicates([id_col, "leafmill_of"])
+    )
+    return with_words.unionByName(marked.where(blank)).drop("leafmill_of")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import id_text, id_type, map_rows, small_batches
+from leafmill.llm.common import id_text, id_type, map_rows, rewrite, small_batches
 
 KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ASSIGN = re.compile(
@@ -191,3 +191,25 @@ def redact(text: str, spans: list[Span], mark: str = "[secret]") -> str:
             out += [text[at:start], mark]
         at = end
     return "".join([*out, text[at:]])
+
+
+def redacted(
+    df: DataFrame, model: np.ndarray | None, evidence: float = 14.0, text_col: str = "text"
+) -> DataFrame:
+    """All rows and columns of ``df``, the text without what ``find`` finds."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def cleaning():
+        ratios = shared.value
+
+        def clean(text: str | None) -> str | None:
+            if not text:
+                return text
+            spans, _, tokens = scan(text)
+            if ratios is not None:
+                spans = spans + model_spans(tokens, ratios, evidence)
+            return redact(text, sorted(spans, key=lambda s: (s[0], s[2]))) if spans else text
+
+        return lambda texts: ([clean(t) for t in texts], [True] * len(texts))
+
+    return rewrite(df, cleaning, text_col)
