@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import id_type, map_rows, small_batches
+from leafmill.llm.common import id_type, map_rows, small_batches, tidy
 from leafmill.plans.workdir import written
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003, 998_244_353)
 SPAN = 10
-SKETCH = 64
+SKETCH = 32
 
 
 def reduced(values: np.ndarray) -> np.ndarray:
@@ -108,7 +108,7 @@ class PrefixHash:
         starts = np.arange(self.size - wide + 1)
         hashes = self.spans(starts, starts + wide)
         hashes = hashes * np.uint64(0x9E3779B97F4A7C15)
-        hashes ^= hashes >> np.uint64(32)
+        hashes >>= np.uint64(32)  # half of the bits tell spans apart well enough
         wanted = 2 * SKETCH
         while len(hashes) > wanted:
             least = np.unique(np.partition(hashes, wanted)[:wanted])
@@ -120,7 +120,7 @@ class PrefixHash:
     def fingerprint(self) -> tuple[str, np.ndarray]:
         """Length, whole hash and sketch as one string, and the sketch."""
         least = self.sketch()
-        shown = least.astype(">u8").tobytes().hex()
+        shown = least.astype(">u4").tobytes().hex()
         return f"{self.size:x}:{self.span(0, self.size):016x}:{shown}", least
 
 
@@ -204,6 +204,7 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     closed afterwards. The result is written to the shared folder, so both come from one run.
     """
     kind = id_type(df, id_col)
+    tidy(df.sparkSession)
     names = [name for name, _, _ in FIELDS]
     described = ", ".join(f"{name} {shown}" for name, _, shown in FIELDS)
     schema = f"id {kind}, {described}, task int, edge string, text string"
