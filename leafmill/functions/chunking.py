@@ -270,15 +270,20 @@ def chunk_recursive(
 
 
 def _expand_tabs(text: Column) -> Column:
+    """Fill up to the next tab stop. Only columns are carried along: a part ends where the stop
+    before it, a multiple of the tab width, plus its own length says."""
+
     def per_line(line: Column) -> Column:
+        def filled(part: Column, i: Column) -> Column:
+            # Every part but the last is followed by blanks up to the next stop.
+            blanks = F.repeat(F.lit(" "), F.lit(TAB_WIDTH) - F.length(part) % TAB_WIDTH)
+            return F.concat(part, blanks)
+
         return let(
             F.split(line, "\t", -1),
-            lambda parts: F.aggregate(
-                F.slice(parts, 2, F.size(parts)),
-                F.element_at(parts, 1),
-                lambda done, part: F.concat(
-                    done, F.repeat(F.lit(" "), F.lit(TAB_WIDTH) - F.length(done) % TAB_WIDTH), part
-                ),
+            lambda parts: F.concat(
+                F.array_join(F.transform(F.slice(parts, 1, F.size(parts) - 1), filled), ""),
+                F.element_at(parts, -1),
             ),
         )
 

@@ -19,7 +19,7 @@ from leafmill.functions.chunking import (
 )
 from leafmill.functions.summary import SENTENCE_JOINER, extractive_summary
 from leafmill.models import Model, apply_model
-from leafmill.operators.chunks import chunk_rows, join_chunks, spread_chunks
+from leafmill.operators.chunks import join_chunks, spread_chunks
 
 # Fixed values.
 MAP_JOINER = " \n"
@@ -75,6 +75,26 @@ def summary_wrap_join(
     return _map_step(df, keep, chunk_wrap(shown, **chunking), WRAP_JOINER, "summary")
 
 
+def _mapped_by_model(
+    rows: DataFrame, model: Model, joiner: str, partitions: int | None, retry: dict
+) -> DataFrame:
+    """``_key, summary, error``: a model's outputs for the chunks of a document, joined in order.
+
+    ``rows`` holds ``_key`` (a struct, so NULL equals NULL), ``pos`` and ``chunk``; a document without
+    chunks has one row with NULL for both.
+    """
+    done = apply_model(spread_chunks(rows, "_key", partitions), "chunk", "string", model, **retry)
+    # One aggregation for texts and messages: a second use of ``done`` would run the model again.
+    shown = F.when(F.col("pos").isNotNull(), F.coalesce("value", F.lit("")))
+    return join_chunks(
+        done.select("_key", "pos", shown.alias("v"), "error"),
+        ["_key"],
+        "v",
+        joiner,
+        F.min("error").alias("error"),
+    )
+
+
 def summarize_with_model(
     df: DataFrame,
     key: str,
@@ -86,22 +106,63 @@ def summarize_with_model(
 ) -> DataFrame:
     """``(key, summary, error)`` with chunk summaries made by ``model``.
 
-    ``key`` identifies a document. Chunks are spread by (document, position), so a long document
-    does not sit in one task. A chunk that fails every try contributes ``''`` and its message is
-    kept in ``error``. Documents without chunks give ``''``.
+    ``key`` identifies a document; a NULL key is a document too. Chunks are spread by (document,
+    position), so a long document does not sit in one task. A chunk that fails every try contributes
+    ``''`` and its message is kept in ``error``. Documents without chunks give ``''``. The input is
+    read once.
     """
-    rows = spread_chunks(chunk_rows(df, [key], chunks), key, partitions)
-    done = apply_model(rows, "chunk", "string", model, **retry)
-    # One aggregation for texts and messages: a second use of ``done`` would run the model again.
-    texts = join_chunks(
-        done.select(key, "pos", F.coalesce("value", F.lit("")).alias("v"), "error"),
-        [key],
-        "v",
-        joiner,
-        F.min("error").alias("error"),
+    rows = df.select(F.struct(key).alias("_key"), F.posexplode_outer(chunks).alias("pos", "chunk"))
+    mapped = _mapped_by_model(rows, model, joiner, partitions, retry)
+    return mapped.select(f"_key.{key}", "summary", "error")
+
+
+def map_reduce_with_model(
+    df: DataFrame,
+    key: str,
+    chunks: Column,
+    model: Model,
+    reduce_model: Model | None = None,
+    longest: int = 4000,
+    levels: int = 3,
+    joiner: str = MAP_JOINER,
+    partitions: int | None = None,
+    **retry: object,
+) -> DataFrame:
+    """``(key, summary, error)``: chunks are summarised, and their joined summaries reduced to one.
+
+    ``reduce_model`` (``model`` if none is given) makes one text of a document's joined summaries.
+    Where these are longer than ``longest`` characters they are cut into chunks of that size and
+    mapped again first, ``levels`` times at most. Each level and the last step are one model stage.
+    A failed chunk contributes ``''``; ``error`` keeps a message. Documents without chunks give
+    ``''`` and reach no model.
+    """
+    rows = df.select(F.struct(key).alias("_key"), F.posexplode_outer(chunks).alias("pos", "chunk"))
+    held = _mapped_by_model(rows, model, joiner, partitions, retry)
+    last = reduce_model or model
+    for _ in range(levels):
+        # Short texts pass a level as they are: a NULL chunk reaches no model.
+        long = F.length("summary") > longest
+        pieces = F.when(long, chunk_recursive(F.col("summary"), size=longest, overlap=0))
+        again = held.select(
+            F.struct("_key", F.when(~long, F.col("summary")).alias("done"), "error").alias("_key"),
+            F.posexplode_outer(pieces).alias("pos", "chunk"),
+        )
+        mapped = _mapped_by_model(again, last, joiner, partitions, retry)
+        held = mapped.select(
+            "_key._key",
+            F.coalesce("_key.done", "summary").alias("summary"),
+            F.coalesce("_key.error", "error").alias("error"),
+        )
+    text = F.when(F.col("summary") != "", F.col("summary"))
+    reduced = apply_model(
+        held.select("_key", text.alias("text"), F.col("error").alias("earlier")),
+        "text",
+        "string",
+        last,
+        **retry,
     )
-    return (
-        df.select(key)
-        .join(texts, key, "left")
-        .select(key, F.coalesce("summary", F.lit("")).alias("summary"), "error")
+    return reduced.select(
+        f"_key.{key}",
+        F.coalesce("value", F.lit("")).alias("summary"),
+        F.coalesce("earlier", "error").alias("error"),
     )
