@@ -33,9 +33,12 @@ SKETCH = 32
 
 def reduced(values: np.ndarray) -> np.ndarray:
     """Values below 2**62 modulo the prime, without division."""
-    values = (values & PRIME) + (values >> np.uint64(31))
-    values = (values & PRIME) + (values >> np.uint64(31))
-    return np.where(values >= PRIME, values - PRIME, values)
+    for _ in range(2):
+        high = values >> np.uint64(31)
+        values = values & PRIME
+        values += high
+    # Below the prime the difference wraps around and is the larger one.
+    return np.minimum(values, values - PRIME)
 
 
 class Powers:
@@ -83,7 +86,12 @@ class PrefixHash:
         return out
 
     def span(self, start: int, end: int) -> int:
-        return int(self.spans(np.array([start]), np.array([end]))[0])
+        """The hash of one span, the same number as from ``spans``."""
+        prime, out = int(PRIME), 0
+        for prefix, inverse in zip(self.prefix, self.inverse):
+            gap = int(prefix[end]) - int(prefix[start])
+            out = out << 31 | gap * int(inverse[start]) % prime
+        return out
 
     def same(self, start: int, other: PrefixHash, other_start: int, size: int) -> bool:
         """Whether two spans of one size are equal, up to hash collisions."""
@@ -128,9 +136,9 @@ def likeness(left: np.ndarray, right: np.ndarray) -> float:
     """Estimated share of common spans, from two sketches; two empty texts are alike."""
     if not len(left) and not len(right):
         return 1.0
-    union = np.union1d(left, right)[: max(SKETCH, 1)]
-    both = np.isin(union, left) & np.isin(union, right)
-    return float(both.sum() / len(union))
+    one, other = set(left.tolist()), set(right.tolist())
+    union = sorted(one | other)[:SKETCH]
+    return sum(h in one and h in other for h in union) / len(union)
 
 
 def edited_text(text: str, following: str) -> str:
