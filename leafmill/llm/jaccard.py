@@ -43,6 +43,8 @@ HOT_SHARE, HOT_LEAST = 64, 8
 #: Bits of the table that tells texts whose arrays are wanted from most others.
 WANTED_BITS = 1 << 24
 MOST_BITS = 4096
+#: What a row of a tile does.
+IS_MET, MEETS, MEETS_ALL = 0, 1, 2
 MIX = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
@@ -236,26 +238,36 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     placed = placed.join(counts, ["key", "band"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     )
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    first = placed.where("home").select("*", F.lit(True).alias("active"), F.explode(every).alias("column"))
-    first = first.withColumn("row", F.col("part"))
-    second = placed.select("*", F.lit(False).alias("active"), F.explode(every).alias("row"))
-    second = second.withColumn("column", F.col("part"))
-    columns = ["key", "band", "row", "column", "active", "node", "size", "component"]
-    sided = first.select(*columns).unionByName(second.select(*columns))
+    placed = written(rows.sparkSession, placed, "jaccard")
+    # Of a whole tile each set has one row: one at home meets all, a guest is only met. Of a cut one
+    # a row stands for a set that meets others in each column, one for a set that is met in each row.
+    none = F.lit(0)
+    whole = placed.where("parts = 1").select(
+        "*", none.alias("row"), none.alias("column"), F.when(F.col("home"), MEETS_ALL).otherwise(IS_MET).alias("role")
+    )
+    cut = placed.where("parts > 1")
+    every = F.sequence(none, F.col("parts") - 1)
+    first = cut.where("home").select("*", F.explode(every).alias("column"), F.lit(MEETS).alias("role"))
+    second = cut.select("*", F.explode(every).alias("row"), F.lit(IS_MET).alias("role"))
+    columns = ["key", "band", "row", "column", "role", "node", "size", "component"]
+    sided = (
+        whole.select(*columns)
+        .unionByName(first.withColumn("row", F.col("part")).select(*columns))
+        .unionByName(second.withColumn("column", F.col("part")).select(*columns))
+    )
     sided = sided.join(bitmaps, "node")
 
     def compare(table: pa.Table) -> pa.Table:
-        active = np.array(table.column("active").to_pylist(), dtype=bool)
+        role = table.column("role").to_numpy()
         nodes = table.column("node").to_numpy()
         sizes = table.column("size").to_numpy().astype(np.int64)
         parts = table.column("component").to_numpy()
         maps = table.column("bitmap").to_pylist()
         bits = min(len(m) for m in maps) * 8
         words = np.array([folded(m, bits) for m in maps])
-        others = np.flatnonzero(~active)
+        others = np.flatnonzero(role != MEETS)
         found = []
-        for i in np.flatnonzero(active):
+        for i in np.flatnonzero(role != IS_MET):
             size = sizes[others]
             fit = (parts[others] != parts[i]) & (nodes[others] != nodes[i])
             fit &= (WHOLE * size >= LEAST * sizes[i]) & (WHOLE * sizes[i] >= LEAST * size)
@@ -311,7 +323,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     rows = _prefix_rows(texts, _frequent(texts))
     firsts = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     shared = rows.join(firsts.where("first <> last").select("key", "first"), "key")
-    shared = written(spark, shared, "jaccard").distinct()
+    # Of copies in several tasks one row stays.
+    shared = written(spark, shared.distinct(), "jaccard")
 
     sizes = shared.where("node = first").select("key", F.col("size").alias("first_size")).distinct()
     star = (
@@ -335,7 +348,9 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .where("low <> high")
         .select("key")
     )
-    more = written(spark, _tiles(placed.join(open_keys, "key"), bitmaps), "jaccard")
+    bitmaps = written(spark, bitmaps, "jaccard")
+    placed = written(spark, placed.join(open_keys, "key"), "jaccard")
+    more = written(spark, _tiles(placed, bitmaps), "jaccard")
     more = more.join(star, ["a", "b"], "left_anti")
     links = links.union(_checked(written(spark, more, "jaccard"), texts))
     links = written(spark, links, "jaccard")
