@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +35,14 @@ from leafmill.llm.common import id_text, id_type, map_rows, small_batches, tidy
 from leafmill.plans.workdir import written
 
 SIZE = 50
-ANCHOR = 20
+ANCHOR = 30
 REACH = SIZE - ANCHOR
 WINDOWS = REACH + 1
 #: Bits of the table of shared anchors, and bytes that one suffix array takes in.
 SHARED_BITS = 1 << 26
 ARRAY_BYTES = 1 << 15
+#: Classes that a task holds at once.
+TASK_CLASSES = 200_000
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 
@@ -118,8 +121,11 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         part ^= part >> np.uint64(31)
         parts[2 * width] = part
     count = size - ANCHOR + 1
-    piece = parts[16][:count] * MIX[1] + parts[4][16 : 16 + count] * MIX[0]
-    piece ^= piece >> np.uint64(29)
+    piece, at = parts[16][:count], 16
+    for width in (8, 4, 2):  # and the rest of the anchor's bytes
+        piece = piece * MIX[1] + parts[width][at : at + count] * MIX[0]
+        piece ^= piece >> np.uint64(29)
+        at += width
     least = _sliding(piece, np.minimum)
     # A piece is chosen if it is the least of some window: the largest of the least ones over it.
     padded = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
@@ -191,38 +197,84 @@ def _keys(texts: DataFrame, kind: str) -> DataFrame:
     return map_rows(texts, run, f"key long, id {kind}")
 
 
+def _shared_contexts(batch: pa.RecordBatch, table: np.ndarray) -> Iterator[tuple]:
+    """``row, key, class, start, lead, context`` of the contexts whose anchor may be shared."""
+    for row, text in enumerate(batch.column(1).to_pylist()):
+        raw = _bytes_of(text)
+        key, at = anchors(raw)
+        bit = key & (SHARED_BITS - 1)
+        held = (table[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
+        for k, p in zip(key[held > 0].tolist(), at[held > 0].tolist()):
+            context, start = _context(raw, p)
+            number = xxhash.xxh3_64_intdigest(context, seed=p - start)
+            yield row, k, number - (1 << 64) if number >> 63 else number, start, p - start, context
+
+
+def _classes(texts: DataFrame, shared, kind: str) -> DataFrame:
+    """``key, class, least, last, lead, context`` of the shared contexts, ordered by key.
+
+    A task sends each class once (in parts, if it holds more than ``TASK_CLASSES``), so a passage of
+    very many documents costs as many rows as there are tasks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        id_kind = None
+
+        def flush() -> pa.RecordBatch:
+            kinds = [pa.int64(), id_kind, id_kind, pa.int32(), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*held.values()), kinds)]
+            numbers = pa.array(list(held), pa.int64())
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [numbers, *columns], ["class", "key", "least", "last", "lead", "context"]
+            )
+
+        for batch in small_batches(batches):
+            id_kind = batch.column(0).type
+            ids = batch.column(0).to_pylist()
+            for row, key, number, _, lead, context in _shared_contexts(batch, shared.value):
+                known = held.get(number)
+                if known is None:
+                    held[number] = [key, ids[row], ids[row], lead, context]
+                elif ids[row] < known[1]:
+                    known[1] = ids[row]
+                elif ids[row] > known[2]:
+                    known[2] = ids[row]
+            if len(held) >= TASK_CLASSES:
+                yield flush()
+        if held:
+            yield flush()
+
+    schema = f"class long, key long, least {kind}, last {kind}, lead int, context binary"
+    # Dealt by key, so the aggregation by key and class needs no further exchange.
+    sent = map_rows(texts, run, schema).repartition("key")
+    merged = sent.groupBy("key", "class").agg(
+        F.min("least").alias("least"),
+        F.max("last").alias("last"),
+        F.first("lead").alias("lead"),
+        F.first("context").alias("context"),
+    )
+    return merged.sortWithinPartitions("key", "class")
+
+
 def _occurrences(texts: DataFrame, shared, kind: str) -> DataFrame:
-    """The contexts whose anchor may be shared: ``key, class, id, row, start, size, lead, context``."""
+    """``class, id, row, start, size`` of the shared contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in small_batches(batches):
-            source, keys, starts, leads, contexts = [], [], [], [], []
-            for place, text in enumerate(batch.column(1).to_pylist()):
-                raw = _bytes_of(text)
-                key, at = anchors(raw)
-                bit = key & (SHARED_BITS - 1)
-                held = (table[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
-                for k, p in zip(key[held > 0].tolist(), at[held > 0].tolist()):
-                    context, start = _context(raw, p)
-                    source.append(place)
-                    keys.append(k)
-                    starts.append(start)
-                    leads.append(p - start)
-                    contexts.append(context)
+            found = [
+                (row, number, start, len(context))
+                for row, _, number, start, _, context in _shared_contexts(batch, shared.value)
+            ]
+            source, numbers, starts, sizes = zip(*found) if found else [[]] * 4
             source = pa.array(source, pa.int64())
-            columns = [pa.array(keys, pa.int64()), batch.column(0).take(source)]
+            columns = [pa.array(numbers, pa.int64()), batch.column(0).take(source)]
             columns += [batch.column(2).take(source), pa.array(starts, pa.int32())]
-            columns += [pa.array(leads, pa.int32()), pa.array(contexts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                columns, ["key", "id", "row", "start", "lead", "context"]
-            )
+            columns += [pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["class", "id", "row", "start", "size"])
 
-    schema = f"key long, id {kind}, row long, start int, lead int, context binary"
-    made = map_rows(texts, run, schema)
-    return made.withColumn("size", F.length("context")).withColumn(
-        "class", F.xxhash64("key", "lead", "context")
-    )
+    return map_rows(texts, run, f"class long, id {kind}, row long, start int, size int")
 
 
 def _judged(classes: DataFrame, kind: str) -> DataFrame:
@@ -326,22 +378,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     table[bits.column("word").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
     broadcast = spark.sparkContext.broadcast(table)
 
-    classes = (
-        _occurrences(named, broadcast, kind)
-        .groupBy("key", "class")
-        .agg(
-            F.min("id").alias("least"),
-            F.max("id").alias("last"),
-            F.first("lead").alias("lead"),
-            F.first("context").alias("context"),
-        )
-    )
-    placed = classes.repartition("key").sortWithinPartitions("key", "class")
-    judged = written(spark, _judged(placed, kind), "suffixes")
+    judged = written(spark, _judged(_classes(named, broadcast, kind), kind), "suffixes")
     if not nameless:
         judged = judged.where("least < last OR size(removed) > 0")
 
-    found = _occurrences(texts, broadcast, kind).select("class", "id", "row", "start", "size")
+    found = _occurrences(texts, broadcast, kind)
     later = F.col("id").isNull() | (F.col("id") > F.col("least"))
     whole = F.array(F.struct(F.col("start").alias("from"), (F.col("start") + F.col("size")).alias("to")))
     single = F.transform(
