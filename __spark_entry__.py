@@ -81,6 +81,11 @@ def list_files_by_suffix(spark, sf):
     return filters.keep_suffix(_listing(spark, sf), ".pdf")
 
 
+def list_files_tree(spark, sf):
+    listed = files.list_all_files(spark, sf, ".parquet")
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
 def list_files_by_substring(spark, sf):
     return filters.keep_substring(_listing(spark, sf), "/en/")
 
@@ -94,8 +99,18 @@ def _file_facts(rows: DataFrame) -> DataFrame:
 
 
 def scan_binary_files(spark, sf):
-    fits, _ = files.split_by_size(files.scan_files(spark, sf, ".parquet"))
-    return _file_facts(fits)
+    return _file_facts(files.read_files(spark, sf, ".parquet"))
+
+
+def ingest_twice(spark, sf):
+    """The raw table after two runs over one folder, streamed on twice."""
+    raw, bronze = fresh_table("raw"), fresh_table("bronze")
+    path, checkpoint = fresh_dir(spark, "raw"), fresh_dir(spark, "checkpoint")
+    target = fresh_dir(spark, "bronze")
+    for _ in range(2):
+        ingest.ingest_files(spark, sf, raw, path, ".parquet")
+        table = flows.process_table(spark, raw, bronze, checkpoint, path=target)
+    return _file_facts(table)
 
 
 def stamp_year_month(spark, sf):
@@ -214,6 +229,12 @@ def filter_path_eq(spark, sf):
     return rows.select("doc_id", "path", "n_chars", "text")
 
 
+def filter_source_eq(spark, sf):
+    """Equality on a stored column, which reaches the Parquet scan."""
+    docs = _table(spark, sf, "documents")
+    return filters.filter_path(docs, "src1", on="source").select("doc_id", "source", "n_chars")
+
+
 def unprocessed_anti_join(spark, sf):
     listing = filters.keep_suffix(_documents(spark, sf).select("doc_id", "path"), ".pdf")
     done = _labelled(spark, sf).select(F.col("path").alias("Filepath"))
@@ -227,6 +248,17 @@ def dedup_exact(spark, sf):
     return rows.select("doc_id", "lang", "n_chars", "text")
 
 
+def dedup_exact_keys(spark, sf):
+    rows = filters.dedup_exact(
+        _table(spark, sf, "documents"),
+        keys=["lang", "n_chars"],
+        row_id=["doc_id"],
+        content="text",
+        order_by=["source"],
+    )
+    return rows.select("doc_id", "lang", "n_chars", "source")
+
+
 # --- scalar functions -----------------------------------------------------------------------
 
 
@@ -276,6 +308,21 @@ def assemble_pages(spark, sf):
     )
 
 
+def assemble_pages_fallback(spark, sf):
+    """With limits that make documents take the second text and the way by blocks of pages."""
+    second = _table(spark, sf, "pages").select(F.col("page_id").alias("conv_id"), "html")
+    return extraction.assemble_pages(
+        _table(spark, sf, "conversations"),
+        "conv_id",
+        "turn",
+        "text",
+        second,
+        "html",
+        shortest=300,
+        block=4,
+    )
+
+
 def _extractor_outputs(spark: SparkSession, sf: str) -> DataFrame:
     """Per document: a first text for labelled ones, pages where a conversation has its number."""
     labels = _table(spark, sf, "labels")
@@ -308,9 +355,11 @@ def extract_unprocessed(spark, sf):
     done = _documents(spark, sf).join(
         _table(spark, sf, "labels").filter("quality = 1"), "doc_id", "left_semi"
     )
-    return extraction.extract_unprocessed(
-        _extractor_outputs(spark, sf), done, "path", "path", _extracted()
-    )
+    # The narrow listing is reduced first; texts are joined for new files only.
+    listing = _documents(spark, sf).select("doc_id", "path")
+    new = filters.unprocessed(filters.keep_suffix(listing, ".pdf"), done, "path", "path")
+    outputs = _extractor_outputs(spark, sf).drop("path").join(new, "doc_id")
+    return outputs.select(F.col("path").alias("name"), _extracted().alias("text"))
 
 
 def chunk_separator(spark, sf):
@@ -361,6 +410,28 @@ def vector_records(spark, sf):
 # --- streaming ------------------------------------------------------------------------------
 
 
+def vector_flow(spark, sf):
+    schema = (
+        "namespace string, doc_id bigint, id string, values array<float>, "
+        "metadata map<string,string>"
+    )
+    empty = spark.createDataFrame([], schema)
+
+    def after(store: DataFrame, docs: DataFrame) -> DataFrame:
+        return vectors.vector_flow(
+            store, docs, "main", "doc_id", "text", ["lang"], _line_chunks()
+        )
+
+    old = after(empty, _labelled(spark, sf).withColumn("lang", F.lit("old")))
+    return after(old, _texts(spark, sf)).select(
+        "namespace",
+        "doc_id",
+        "id",
+        _checksum(F.col("values")).alias("checksum"),
+        F.col("metadata")["lang"].alias("lang"),
+    )
+
+
 def stream_bronze(spark, sf):
     raw, bronze = fresh_table("raw"), fresh_table("bronze")
     stamped = ingest.stamp(_table(spark, sf, "orders"), F.col("o_orderdate"))
@@ -423,8 +494,10 @@ def summarized_documents(spark, sf):
 
 _QUERIES: list[Query] = [
     list_files_by_suffix,
+    list_files_tree,
     list_files_by_substring,
     scan_binary_files,
+    ingest_twice,
     stamp_year_month,
     write_raw_overwrite,
     read_bronze_table,
@@ -436,8 +509,10 @@ _QUERIES: list[Query] = [
     truncate_store,
     vector_upsert,
     filter_path_eq,
+    filter_source_eq,
     unprocessed_anti_join,
     dedup_exact,
+    dedup_exact_keys,
     path_fields,
     path_tail,
     clean_text,
@@ -445,6 +520,7 @@ _QUERIES: list[Query] = [
     chunk_id,
     token_count,
     assemble_pages,
+    assemble_pages_fallback,
     extract_fallback,
     extract_unprocessed,
     chunk_separator,
@@ -454,6 +530,7 @@ _QUERIES: list[Query] = [
     summary_map_join,
     summary_wrap_join,
     vector_records,
+    vector_flow,
     stream_bronze,
     stream_view,
     stream_new_files,
@@ -690,8 +767,22 @@ def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL by query name."""
     return {
         "list_files_by_suffix": f"SELECT path FROM {_LISTING} WHERE suffix(path, '.pdf')",
+        "list_files_tree": (
+            f"SELECT parse_filename(file) AS name FROM glob('{ORACLE_DIR}/*.parquet')"
+        ),
+        "filter_source_eq": "SELECT doc_id, source, n_chars FROM documents WHERE source = 'src1'",
+        "dedup_exact_keys": """
+            SELECT doc_id, lang, n_chars, source FROM documents
+            QUALIFY row_number() OVER (
+                PARTITION BY lang, n_chars, text ORDER BY source, doc_id) = 1""",
+        "assemble_pages_fallback": """
+            SELECT c.conv_id, CASE WHEN length(c.text) < 300 THEN p.html ELSE c.text END AS text
+            FROM (SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text
+                FROM conversations GROUP BY conv_id) c
+            LEFT JOIN pages p ON p.page_id = c.conv_id""",
         "list_files_by_substring": f"SELECT path FROM {_LISTING} WHERE contains(path, '/en/')",
         "scan_binary_files": _FILE_FACTS,
+        "ingest_twice": _FILE_FACTS,
         "stamp_year_month": (
             "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS year_month FROM orders"
         ),
@@ -777,6 +868,22 @@ def oracle_sql() -> dict[str, str]:
             FROM documents d LEFT JOIN reduced r ON d.doc_id = r.doc_id""",
         "summary_map_join": _joined_summary(_line_chunks_sql(), "' ' || chr(10)"),
         "summary_wrap_join": _joined_summary(_wrap_sql(), "chr(10) || ' '"),
+        "vector_flow": f"""WITH RECURSIVE {_line_chunks_sql()},
+            hits AS (SELECT doc_id, pos, ('0x' || substr(md5(w), 1, 2))::INT AS bucket
+                FROM (SELECT doc_id, pos,
+                    unnest(string_split_regex(lower(chunk), '[\\t-\\r ]+')) AS w FROM chunked) q
+                WHERE w <> ''),
+            counts AS (SELECT doc_id, pos, bucket, count(*) AS n FROM hits GROUP BY ALL),
+            norms AS (SELECT doc_id, pos, sqrt(sum(n * n)::DOUBLE) AS norm FROM counts
+                GROUP BY doc_id, pos),
+            digests AS (SELECT doc_id, pos, sum(floor((n / norm)::FLOAT::DOUBLE * {VALUE_SCALE})::BIGINT
+                * (bucket + 1))::BIGINT AS checksum
+                FROM counts JOIN norms USING (doc_id, pos) GROUP BY doc_id, pos)
+            SELECT 'main' AS namespace, c.doc_id, sha256(c.chunk) AS id,
+                any_value(coalesce(s.checksum, 0)) AS checksum, any_value(d.lang) AS lang
+            FROM chunked c JOIN documents d ON c.doc_id = d.doc_id
+            LEFT JOIN digests s ON c.doc_id = s.doc_id AND c.pos = s.pos
+            GROUP BY c.doc_id, c.chunk""",
         "vector_records": f"""WITH RECURSIVE {_line_chunks_sql()},
             hits AS (SELECT doc_id, pos, ('0x' || substr(md5(w), 1, 2))::INT AS bucket
                 FROM (SELECT doc_id, pos,

@@ -52,3 +52,24 @@ def vector_records(
 def vector_upsert(store: DataFrame, batch: DataFrame, seq: str) -> DataFrame:
     """New state of a vector table keyed by ``(namespace, id)`` after ``batch``."""
     return upsert(store, batch, VECTOR_KEY, seq)
+
+
+def vector_flow(
+    store: DataFrame,
+    stored: DataFrame,
+    namespace: str,
+    key: str,
+    text: str,
+    metadata: Sequence[str],
+    chunks: Column | None = None,
+) -> DataFrame:
+    """Stored texts to vectors in one flow: the new state of ``store`` after all chunks of ``stored``.
+
+    ``store`` holds ``namespace``, ``key``, ``id``, ``values`` and ``metadata``, one row per namespace,
+    document and chunk; a chunk that a document repeats is one vector.
+    """
+    records = vector_records(stored, key, text, metadata, chunks)
+    batch = records.select(
+        F.lit(namespace).alias("namespace"), key, "id", "values", "metadata", "pos"
+    )
+    return upsert(store, batch, ("namespace", key, "id"), "pos")

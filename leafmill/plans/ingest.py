@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.sources.files import scan_files
-from leafmill.sources.tables import write_overwrite
+from leafmill.sources.files import MAX_CONTENT, read_files
+from leafmill.sources.tables import TABLE_FORMAT, write_overwrite
 
 MONTH = "yyyy-MM"
+# What identifies a version of a file, and the mark of a table that is replaced on ingest.
+IDENTITY = ["path", "modificationTime", "length"]
+REPLACED = "leafmill.replaced"
 
 
 def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -20,7 +23,34 @@ def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 def ingest_files(
-    spark: SparkSession, folder: str, table: str, path: str | None = None, suffix: str = ".pdf"
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    path: str | None = None,
+    suffix: str = ".pdf",
+    replace: bool = False,
+    table_format: str = TABLE_FORMAT,
+    limit: int = MAX_CONTENT,
 ) -> DataFrame:
-    """Scan ``folder``, stamp every file row and replace ``table``. Returns the table."""
-    return write_overwrite(stamp(scan_files(spark, folder, suffix)), table, path)
+    """Scan ``folder``, stamp every new file row and append it to ``table``. Returns the table.
+
+    A file is new if the table has no row of its path, time and length, so a second run adds nothing,
+    and the table can be streamed. With ``replace`` the table and its schema are replaced instead
+    and marked, so that :func:`leafmill.streaming.flows.process_table` refuses to stream it. Files
+    that cannot be read as one value, or have a hidden name, are rows with an ``error``, see
+    :func:`leafmill.sources.files.read_files`.
+    """
+    rows = read_files(spark, folder, suffix, limit)
+    if replace:
+        made = write_overwrite(stamp(rows), table, path, table_format)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REPLACED}' = 'true')")
+        return made
+    if spark.catalog.tableExists(table):
+        known = spark.table(table).select(*IDENTITY)
+        same = [rows[c].eqNullSafe(known[c]) for c in IDENTITY]
+        rows = rows.join(known, same, "left_anti")
+    writer = stamp(rows).write.format(table_format).mode("append").option("mergeSchema", "true")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return spark.table(table)

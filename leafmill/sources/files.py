@@ -58,6 +58,11 @@ def list_files(
     return scan_files(spark, paths, suffix, modified_after).select("path")
 
 
+def list_all_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
+    """Paths of the files below ``folder``, also of those with hidden names. No content is read."""
+    return list_files(spark, folder, suffix).union(hidden_files(spark, folder, suffix).select("path"))
+
+
 def list_files_containing(
     spark: SparkSession, paths: str | Sequence[str], part: str = ".pdf"
 ) -> DataFrame:
@@ -77,3 +82,42 @@ def split_by_size(files: DataFrame, limit: int = MAX_CONTENT) -> tuple[DataFrame
         .withColumn("error", F.lit("file too large"))
     )
     return fits, over
+
+
+def hidden_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
+    """Files below ``folder`` that Spark's file sources leave out: ``path, modificationTime, length``.
+
+    These are the files with a name, or in a folder with a name, that begins with ``_`` or ``.``.
+    The file system lists the tree on the driver, as the file sources do.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = fs.makeQualified(root).toString().rstrip("/")
+    found, listing = [], fs.listFiles(root, True)
+    while listing.hasNext():
+        status = listing.next()
+        path = status.getPath().toString()
+        parts = path[len(top) + 1 :].split("/")
+        if path.endswith(suffix) and any(p.startswith(("_", ".")) for p in parts):
+            found.append((path, status.getModificationTime(), status.getLen()))
+    rows = spark.createDataFrame(found, "path string, millis long, length long")
+    return rows.select("path", F.timestamp_millis("millis").alias("modificationTime"), "length")
+
+
+def read_files(
+    spark: SparkSession, folder: str, suffix: str = ".pdf", limit: int = MAX_CONTENT
+) -> DataFrame:
+    """Every file below ``folder``: the columns of ``scan_files`` and ``error``.
+
+    A file of more than ``limit`` bytes and one with a hidden name has no content but an error, so no
+    file is lost and none fails the run.
+    """
+    fits, over = split_by_size(scan_files(spark, folder, suffix), limit)
+    empty = F.lit(None).cast("binary")
+    hidden = hidden_files(spark, folder, suffix).withColumn("error", F.lit("hidden name"))
+    return (
+        fits.withColumn("error", F.lit(None).cast("string"))
+        .unionByName(over.withColumn("content", empty))
+        .unionByName(hidden.withColumn("content", empty))
+    )

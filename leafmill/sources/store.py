@@ -5,7 +5,12 @@ state is the newest base folder plus all later changes, merged on read by
 :func:`leafmill.operators.upsert.upsert`. ``compact`` writes that state as a new base, ``load`` a
 first one. A folder counts only once Spark has put its ``_SUCCESS`` file there, so a job lost
 half-way leaves the state as it was, and no folder that is being read is ever overwritten. One
-writer at a time.
+writer at a time. Columns are cast to the store's types when they are written, and the order column
+``seq`` to the type it had first, so all changes can be read with one schema.
+
+A change may carry a token. A token is remembered until the next ``load`` or ``delete_all`` (not
+``compact``, which keeps the items), so a batch that runs again is skipped, but not one that comes
+after the store was emptied.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from leafmill.operators.upsert import upsert
 _VERSION = "_version"
 _SEQ = "_seq"
 _ORDER = "_order"
+_COMPACT = "compact"
 _MARK_DONE = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
@@ -64,46 +70,69 @@ class ItemStore:
         writer = df.write.mode("overwrite").option(_MARK_DONE, "true")
         writer.parquet(f"{self.root}/{kind}/{version:012d}-{token}")
 
-    def _changes_after(self, version: int) -> list[str]:
+    def _open_changes(self, bases: list[tuple[int, str, str]]) -> list[str]:
+        """Changes that the newest base does not hold."""
+        version = bases[-1][0] if bases else 0
         return [path for v, _, path in self._folders("change") if v > version]
 
+    def _seen(self, token: str) -> bool:
+        """Whether a change with this token came after the store was loaded or emptied last."""
+        starts = [v for v, name, _ in self._folders("base") if not name.startswith(_COMPACT)]
+        since = max(starts, default=0)
+        return any(name == token for v, name, _ in self._folders("change") if v > since)
+
     def state(self) -> DataFrame:
         """The current items, one row per key."""
         bases = self._folders("base")
-        version = bases[-1][0] if bases else 0
         base = (
             self.spark.read.schema(self.schema).parquet(bases[-1][2])
             if bases
             else self.spark.createDataFrame([], self.schema)
         )
-        changes = [(p, self.spark.read.parquet(p).columns) for p in self._changes_after(version)]
+        changes = [(p, self.spark.read.parquet(p)) for p in self._open_changes(bases)]
         # Changes with the same columns are merged in one step.
-        for columns, run in groupby(changes, key=lambda change: change[1]):
-            batch = self.spark.read.parquet(*(path for path, _ in run)).select(*columns)
+        for columns, run in groupby(changes, key=lambda change: change[1].columns):
+            held = list(run)
+            reader = self.spark.read.schema(held[0][1].schema)
+            batch = reader.parquet(*(path for path, _ in held)).select(*columns)
             batch = batch.withColumn(_ORDER, F.struct(_VERSION, _SEQ)).drop(_VERSION, _SEQ)
             base = upsert(base, batch, self.key, _ORDER, [m for m in self.maps if m in columns])
         return base
 
+    def _seq_type(self) -> T.DataType | None:
+        changes = self._folders("change")
+        return self.spark.read.parquet(changes[0][2]).schema[_SEQ].dataType if changes else None
+
     def upsert(self, batch: DataFrame, seq: str, token: str | None = None) -> None:
-        """Apply ``batch``; ``seq`` orders items of one key. A ``token`` seen before is skipped."""
+        """Apply ``batch``; ``seq`` orders items of one key. A ``token`` seen before is skipped.
+
+        A value that its column's type cannot hold fails the batch before anything is written.
+        """
         name = token or uuid.uuid4().hex
-        if any(name == seen for _, seen, _ in self._folders("change")):
+        if self._seen(name):
             return
         unknown = [c for c in batch.columns if c != seq and c not in self.schema.names]
         if unknown:
             raise ValueError(f"not columns of the store: {unknown}")
         version = self._next_version()
-        renamed = batch.withColumnRenamed(seq, _SEQ).withColumn(_VERSION, F.lit(version))
-        self._write(renamed, "change", name, version)
+        order = self._seq_type() or batch.schema[seq].dataType
+        typed = [F.col(c).cast(self.schema[c].dataType).alias(c) for c in batch.columns if c != seq]
+        rows = batch.select(
+            *typed, F.col(seq).cast(order).alias(_SEQ), F.lit(version).alias(_VERSION)
+        )
+        self._write(rows, "change", name, version)
+
+    def _base(self, items: DataFrame, name: str) -> None:
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        self._write(items.select(*typed), "base", name, self._next_version())
 
     def load(self, items: DataFrame) -> None:
         """Replace the whole store by ``items``, which hold one row per key. No shuffle."""
-        whole = items.select(*self.schema.names)
-        self._write(whole, "base", uuid.uuid4().hex, self._next_version())
+        self._base(items, uuid.uuid4().hex)
 
     def compact(self) -> None:
         """Write the current state as the new base."""
-        self.load(self.state())
+        self._base(self.state(), f"{_COMPACT}-{uuid.uuid4().hex}")
 
     def delete_all(self) -> int:
         """Remove every item and return how many there were."""

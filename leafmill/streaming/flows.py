@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leafmill.models import Model
 from leafmill.plans.flow import items_from_files
-from leafmill.sources.files import BINARY_SCHEMA
+from leafmill.plans.ingest import REPLACED
+from leafmill.sources.files import BINARY_SCHEMA, MAX_CONTENT, split_by_size
 from leafmill.sources.store import ItemStore
+from leafmill.sources.tables import TABLE_FORMAT
 
 
 def run_to_table(
@@ -59,10 +62,19 @@ def process_table(
     checkpoint: str,
     partition_by: str = "year_month",
     path: str | None = None,
+    table_format: str = TABLE_FORMAT,
     **limits: str,
 ) -> DataFrame:
-    """Copy the new rows of ``raw`` to ``bronze``, partitioned by month."""
-    return run_to_table(stream_table(spark, raw, **limits), bronze, checkpoint, partition_by, path)
+    """Copy the new rows of ``raw`` to ``bronze``, partitioned by month.
+
+    ``raw`` must only be appended to, as :func:`leafmill.plans.ingest.ingest_files` does: a stream takes
+    every file of an overwritten table as new. A table that was replaced by it is refused.
+    """
+    properties = dict(spark.sql(f"SHOW TBLPROPERTIES {raw}").collect())
+    if properties.get(REPLACED) == "true":
+        raise ValueError(f"{raw} is replaced on ingest; a stream over it would double its rows")
+    stream = stream_table(spark, raw, **limits)
+    return run_to_table(stream, bronze, checkpoint, partition_by, path, table_format)
 
 
 def stream_view(spark: SparkSession, table: str, view: str) -> DataFrame:
@@ -107,12 +119,18 @@ def upsert_stream(
 ) -> None:
     """Upsert everything available into ``store``, wait until done.
 
-    Each micro-batch is one change of the store named by stream and batch number. A batch that runs
-    again after a crash finds its name there and is skipped.
+    Each micro-batch is one change of the store, named by the stream, its checkpoint's id and the
+    batch number. A batch that runs again after a crash finds its name there and is skipped; a
+    stream with a fresh checkpoint has another id, so nothing of it is taken for seen.
     """
+    spark = stream.sparkSession
+    held: list[str] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        store.upsert(prepare(batch), seq, token=f"{name}-{number}")
+        if not held:  # the stream writes its id there before its first batch
+            line = spark.read.text(f"{checkpoint}/metadata").first()[0]
+            held.append(json.loads(line)["id"])
+        store.upsert(prepare(batch), seq, token=f"{name}-{held[0]}-{number}")
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -132,17 +150,29 @@ def summarize_new_files(
     name: str,
     suffix: str = ".pdf",
     limits: dict[str, str] | None = None,
+    limit: int = MAX_CONTENT,
     **options: object,
 ) -> None:
     """Every new file of ``folder`` becomes an item of ``store``; run it whenever files arrive.
 
     ``store`` has the columns of :data:`leafmill.plans.flow.ITEM_SCHEMA`. Of two files with one id
     the one modified last wins. ``options`` go to :func:`leafmill.plans.flow.items_from_files`.
-    A file too large for one value fails the run; ``sources.files.split_by_size`` finds those.
+    A file of more than ``limit`` bytes, which no value can hold, becomes an item without text and
+    with an error. Names that begin with ``_`` or ``.`` never arrive, see
+    :func:`leafmill.sources.files.hidden_files`.
     """
 
     def prepare(batch: DataFrame) -> DataFrame:
-        items = items_from_files(batch, extractor, keep=["modificationTime"], **options)
+        fits, over = split_by_size(batch, limit)
+        items = items_from_files(fits, extractor, keep=["modificationTime"], **options)
+        unread = items_from_files(
+            over.withColumn("content", F.lit(None).cast("binary")),
+            extractor,
+            keep=["modificationTime", F.col("error").alias("unread")],
+            **options,
+        )
+        unread = unread.withColumn("error", F.col("unread")).drop("unread")
+        items = items.unionByName(unread)
         order = F.struct("modificationTime", "Filepath")
         return items.withColumn("order", order).drop("modificationTime")
 

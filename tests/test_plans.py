@@ -104,7 +104,7 @@ def test_model_runs_once(spark):
         return lambda items: items
 
     modelled = summaries.summarize_with_model(docs, "doc_id", F.array("text"), factory)
-    assert _plan(modelled).count("MapInPandas") == 1
+    assert _plan(modelled).count("MapInArrow") == 1
 
 
 def test_flow_reads_text_once(spark):

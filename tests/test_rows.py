@@ -1,5 +1,6 @@
 """Filters, duplicates, extraction rules, quarantine, models."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -215,3 +216,43 @@ def test_extractor_slot(spark):
         F.col("value.text"), extraction.pages_text(F.col("value.pages")), F.col("error").isNotNull()
     )
     assert done.select("path", text).first()[1] == "start\nend"
+
+
+def test_model_leaves_other_columns_and_types(spark):
+    """A large key beside NULL, and one output of the wrong type."""
+
+    def factory():
+        return lambda items: ["bad" if x == "b" else len(x) for x in items]
+
+    key = 2**53 + 1
+    frame = spark.createDataFrame(
+        [(key, "abc"), (None, "de"), (3, "b"), (4, None)], "k bigint, t string"
+    ).coalesce(1)
+    rows = {r["k"]: r for r in models.apply_model(frame, "t", "int", factory).collect()}
+    assert {k: r["value"] for k, r in rows.items()} == {key: 3, None: 2, 3: None, 4: None}
+    assert rows[3]["error"] and [rows[k]["error"] for k in (key, None, 4)] == [None] * 3
+
+
+def test_model_that_is_down_ends_soon(spark):
+    def factory():
+        def call(items):
+            time.sleep(0.001)
+            raise OSError("down")
+
+        return call
+
+    frame = spark.range(3000).select("id", F.col("id").cast("string").alias("t")).coalesce(1)
+    start = time.time()
+    done = models.apply_model(frame, "t", "int", factory, tries=2, pause=0.05, give_up=4)
+    errors = [r["error"] for r in done.collect()]
+    assert len(errors) == 3000 and all(errors) and time.time() - start < 20
+    assert sum("gave up" in e for e in errors) >= 2900
+
+
+def test_model_calls_are_bounded_in_bytes(spark):
+    def factory():
+        return lambda items: [sum(map(len, items))] * len(items)
+
+    frame = spark.createDataFrame([("x" * 10,)] * 9 + [("y" * 50,)], "t string").coalesce(1)
+    done = models.apply_model(frame, "t", "int", factory, call_bytes=30).collect()
+    assert sorted(r["value"] for r in done) == [30] * 9 + [50]

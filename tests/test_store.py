@@ -182,8 +182,10 @@ def test_ingest_replaces_table_and_schema(spark, tmp_path):
     _write(tmp_path / "in", a__pdf=b"one")
     name = workdir.fresh_table("raw")
     tables.write_overwrite(spark.range(3), name, f"file://{tmp_path}/raw")
-    table = ingest.ingest_files(spark, f"file://{tmp_path}/in", name, f"file://{tmp_path}/raw")
-    assert table.columns == [*files.BINARY_SCHEMA.names, "timestamp", "year_month"]
+    table = ingest.ingest_files(
+        spark, f"file://{tmp_path}/in", name, f"file://{tmp_path}/raw", replace=True
+    )
+    assert table.columns == [*files.BINARY_SCHEMA.names, "error", "timestamp", "year_month"]
     row = table.first()
     assert row["year_month"] == row["timestamp"].strftime("%Y-%m")
     assert tables.query(spark, "select * from {t}", t=name).count() == 1
@@ -310,3 +312,83 @@ def test_spread_only_when_too_few_splits(spark, tmp_path):
 def test_work_folder_is_the_shared_one(spark):
     named = spark.conf.get(workdir.CHECKPOINT_DIR)
     assert workdir.fresh_dir(spark, "x").startswith(named)
+
+
+def test_second_ingest_adds_nothing(spark, tmp_path):
+    _write(tmp_path / "in", a__pdf=b"one", b__pdf=b"two")
+    raw, bronze = workdir.fresh_table("raw"), workdir.fresh_table("bronze")
+
+    def run():
+        ingest.ingest_files(spark, f"file://{tmp_path}/in", raw, f"file://{tmp_path}/raw")
+        table = flows.process_table(
+            spark, raw, bronze, f"file://{tmp_path}/cp", path=f"file://{tmp_path}/bronze"
+        )
+        return spark.table(raw).count(), table.count()
+
+    assert run() == (2, 2)
+    assert run() == (2, 2)
+    _write(tmp_path / "in", c__pdf=b"three")
+    assert run() == (3, 3)
+
+
+def test_replaced_table_is_not_streamed(spark, tmp_path):
+    _write(tmp_path / "in", a__pdf=b"one")
+    raw = workdir.fresh_table("raw")
+    ingest.ingest_files(spark, f"file://{tmp_path}/in", raw, f"file://{tmp_path}/raw", replace=True)
+    with pytest.raises(ValueError, match="replaced"):
+        flows.process_table(spark, raw, workdir.fresh_table("bronze"), f"file://{tmp_path}/cp")
+
+
+def test_no_file_is_lost(spark, tmp_path):
+    _write(tmp_path / "in", x__pdf=b"one", _y__pdf=b"two", big__pdf=b"12345678")
+    _write(tmp_path / "in" / "_arch", w__pdf=b"four")
+    (tmp_path / "in" / ".z.pdf").write_bytes(b"five")
+    root = f"file://{tmp_path}/in"
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in files.read_files(spark, root, limit=7).collect()}
+    assert {n: r["error"] for n, r in rows.items()} == {
+        "x.pdf": None,
+        "big.pdf": "file too large",
+        "_y.pdf": "hidden name",
+        ".z.pdf": "hidden name",
+        "w.pdf": "hidden name",
+    }
+    assert {n: r["length"] for n, r in rows.items()}["w.pdf"] == 4
+    listed = {p.rsplit("/", 1)[1] for (p,) in files.list_all_files(spark, root).collect()}
+    assert listed == set(rows)
+
+
+def test_fresh_checkpoint_after_delete_loads_all(spark, tmp_path):
+    rows = spark.createDataFrame([(k, f"t{k}", 1) for k in range(5)], "id int, text string, seq int")
+    rows.write.parquet(f"file://{tmp_path}/in")
+    store = ItemStore(spark, f"file://{tmp_path}/store", "id int, text string")
+
+    def load(checkpoint):
+        stream = flows.stream_parquet(spark, f"file://{tmp_path}/in", rows.schema)
+        flows.upsert_stream(stream, store, "seq", f"file://{tmp_path}/{checkpoint}", "one name")
+        return store.state().count()
+
+    assert load("cp1") == 5
+    store.compact()
+    assert load("cp1") == 5
+    assert store.delete_all() == 5
+    assert load("cp2") == 5
+
+
+def test_store_casts_to_its_types(spark, tmp_path):
+    store = ItemStore(spark, f"file://{tmp_path}/store", "id int, n string")
+    store.upsert(spark.createDataFrame([(1, 5, 1)], "id int, n int, seq int"), "seq")
+    store.upsert(spark.createDataFrame([("2", "x", 2)], "id string, n string, seq bigint"), "seq")
+    store.upsert(spark.createDataFrame([(1, "y", "3")], "id bigint, n string, seq string"), "seq")
+    assert {tuple(r) for r in store.state().collect()} == {(1, "y"), (2, "x")}
+
+
+def test_token_is_forgotten_when_the_store_is_emptied(spark, tmp_path):
+    store = ItemStore(spark, f"file://{tmp_path}/store", "id int")
+    batch = spark.createDataFrame([(1, 1)], "id int, seq int")
+    store.upsert(batch, "seq", token="a")
+    store.compact()
+    store.upsert(batch, "seq", token="a")
+    assert len(store._folders("change")) == 1
+    store.delete_all()
+    store.upsert(batch, "seq", token="a")
+    assert store.state().count() == 1

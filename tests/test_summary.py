@@ -157,3 +157,40 @@ def test_chunks_join_back_in_order(spark):
     frame = spark.createDataFrame([(1, "a\nb\nc"), (2, "d")], "doc int, t string")
     rows = chunks.chunk_rows(frame, ["doc"], chunking.chunk_separator(F.col("t"), "\n", 1, 0))
     assert _by_doc(chunks.join_chunks(rows, ["doc"], "chunk", "|")) == {1: "a|b|c", 2: "d"}
+
+
+def test_map_reduce_with_model(spark):
+    """Against a plain loop: chunks, joined outputs, levels while too long, one reduce."""
+
+    def short():
+        return lambda items: [" ".join(x.split()[::2]) for x in items]
+
+    def last():
+        return lambda items: [x.upper()[:200] for x in items]
+
+    texts = [(1, " ".join(f"w{n}" for n in range(300))), (None, "a b c d"), (3, None), (4, "")]
+    frame = spark.createDataFrame(texts, "doc int, t string")
+    pieces = chunking.chunk_separator(F.col("t"), " ", 60, 0)
+    got = summaries.map_reduce_with_model(frame, "doc", pieces, short, last, longest=300, levels=2)
+    rows = {r["doc"]: (r["summary"], r["error"]) for r in got.collect()}
+    assert set(rows) == {1, None, 3, 4}
+    assert rows[None] == ("A C", None) and rows[3] == ("", None) and rows[4] == ("", None)
+    listed = frame.select("doc", pieces.alias("c")).where("doc = 1").first()["c"]
+    joined = " \n".join(" ".join(x.split()[::2]) for x in listed)
+    for _ in range(2):
+        if len(joined) > 300:
+            one = spark.createDataFrame([(joined,)], "t string")
+            cut = one.select(chunking.chunk_recursive(F.col("t"), size=300, overlap=0)).first()[0]
+            joined = " \n".join(x.upper()[:200] for x in cut)
+    assert rows[1] == (joined.upper()[:200], None)
+
+
+def test_null_key_keeps_its_summary(spark):
+    def upper():
+        return lambda items: [x.upper() for x in items]
+
+    frame = spark.createDataFrame([(None, "dog"), (1, "cat")], "doc int, t string")
+    got = summaries.summarize_with_model(frame, "doc", F.array("t"), upper)
+    assert {r["doc"]: r["summary"] for r in got.collect()} == {None: "DOG", 1: "CAT"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
