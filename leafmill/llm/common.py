@@ -53,9 +53,19 @@ def id_type(df: DataFrame, id_col: str) -> str:
     return df.schema[id_col].dataType.simpleString()
 
 
+#: What one Arrow batch may hold; whole texts are large rows.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
 def map_rows(df: DataFrame, make: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with a function from an iterator of batches to an iterator of batches."""
-    ship(df.sparkSession)
+    """``mapInArrow`` with a function from an iterator of batches to an iterator of batches.
+
+    Batches are kept small, so that a worker's memory does not follow the length of the texts.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(make, schema)
 
 

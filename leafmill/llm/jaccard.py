@@ -216,6 +216,37 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(held.select("a", "b", "left", "right"), run, "a long, b long")
 
 
+def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose bitmaps allow the similarity."""
+    held = pairs
+    for node, side in (("a", "left"), ("b", "right")):
+        named = bitmaps.select(
+            F.col("node").alias(node),
+            F.col("n_shingles").alias(f"{side}_size"),
+            F.col("bitmap").alias(side),
+        )
+        held = held.join(named, node)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for row in batch.to_pylist():
+                bits = 8 * min(len(row["left"]), len(row["right"]))
+                apart = folded(row["left"], bits) ^ folded(row["right"], bits)
+                total = row["left_size"] + row["right_size"]
+                keep.append(allows(total, int(np.bitwise_count(apart).sum())))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    columns = ["a", "b", "left", "left_size", "right", "right_size"]
+    return map_rows(held.select(*columns), run, "a long, b long")
+
+
+def allows(total, apart):
+    """Whether two sets of ``total`` members together, with at least ``apart`` in one only, may be
+    similar: overlap <= (total - apart) / 2, and similar if overlap * (t + 1) >= t * total."""
+    return (total - apart) * (LEAST + WHOLE) >= 2 * LEAST * total
+
+
 def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of different components at one key whose bitmaps allow the similarity.
 
@@ -255,7 +286,7 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
         .unionByName(first.withColumn("row", F.col("part")).select(*columns))
         .unionByName(second.withColumn("column", F.col("part")).select(*columns))
     )
-    sided = sided.join(bitmaps, "node")
+    sided = sided.join(bitmaps.select("node", "bitmap"), "node")
 
     def compare(table: pa.Table) -> pa.Table:
         role = table.column("role").to_numpy()
@@ -274,9 +305,7 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
             near = others[fit]
             if len(near):
                 apart = np.bitwise_count(words[near] ^ words[i]).sum(axis=1)
-                # overlap <= (total - apart) / 2; similar: overlap * (t + 1) >= t * total
-                total = sizes[near] + sizes[i]
-                near = near[(total - apart) * (LEAST + WHOLE) >= 2 * LEAST * total]
+                near = near[allows(sizes[near] + sizes[i], apart.astype(np.int64))]
                 low, high = np.minimum(nodes[near], nodes[i]), np.maximum(nodes[near], nodes[i])
                 found.append(np.column_stack([low, high]))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -318,7 +347,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
 
     schema = f"id {kind}, row long, n_shingles long, node long, bitmap binary"
     docs = written(spark, map_rows(texts, classes, schema), "jaccard")
-    bitmaps = docs.where("bitmap IS NOT NULL").select("node", "bitmap").dropDuplicates(["node"])
+    bitmaps = docs.where("bitmap IS NOT NULL").select("node", "n_shingles", "bitmap")
+    bitmaps = written(spark, bitmaps.dropDuplicates(["node"]), "jaccard")
 
     rows = _prefix_rows(texts, _frequent(texts))
     firsts = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
@@ -337,7 +367,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .distinct()
     )
     star = written(spark, star, "jaccard")
-    links = written(spark, _checked(star, texts), "jaccard")
+    links = written(spark, _checked(written(spark, _possible(star, bitmaps), "jaccard"), texts), "jaccard")
     found = components(links)
 
     placed = shared.select("key", "node", "size").join(found, "node", "left")
@@ -348,7 +378,6 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .where("low <> high")
         .select("key")
     )
-    bitmaps = written(spark, bitmaps, "jaccard")
     placed = written(spark, placed.join(open_keys, "key"), "jaccard")
     more = written(spark, _tiles(placed, bitmaps), "jaccard")
     more = more.join(star, ["a", "b"], "left_anti")
