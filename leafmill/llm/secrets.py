@@ -30,6 +30,8 @@ KINDS = ("assign", "access", "hex", "model")
 #: Tokens that the models see, and those long enough to be judged.
 SEEN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 JUDGED_CHARS = 16
+#: Weight of a character's overall frequency against the counts of its context.
+RARE = 200.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1  # and the state before the first character
 CODE = np.zeros(256, dtype=np.int64)
@@ -113,12 +115,15 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.nda
         totals[int(row["random"]), row["pair"] // STATES, row["pair"] % STATES] = row["n"]
     if not totals[1].any():
         return None
-    # A random string may use any character next, so its counts are smoothed as strongly as one
-    # sample of each context; ordinary tokens hardly.
+    # A random string may use any character next, so its model keeps a share of all. A context that
+    # ordinary tokens hardly have is judged by how often they have the next character at all: else
+    # a few secrets among them would pass for ordinary.
     even = 1.0 / (STATES - 1)
     seen = totals[1].sum(axis=1, keepdims=True)
     random = 0.8 * (totals[1] + even) / (seen + 1.0) + 0.2 * even
-    plain = (totals[0] + 0.1) / (totals[0].sum(axis=1, keepdims=True) + 0.1 * (STATES - 1))
+    usual = totals[0].sum(axis=0) + 0.1
+    usual /= usual.sum()
+    plain = (totals[0] + RARE * usual) / (totals[0].sum(axis=1, keepdims=True) + RARE)
     return np.log(random) - np.log(plain)
 
 
