@@ -288,34 +288,60 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
     sided = sided.join(bitmaps.select("node", "bitmap"), "node")
 
-    def compare(table: pa.Table) -> pa.Table:
-        role = table.column("role").to_numpy()
-        nodes = table.column("node").to_numpy()
-        sizes = table.column("size").to_numpy().astype(np.int64)
-        parts = table.column("component").to_numpy()
-        maps = table.column("bitmap").to_pylist()
-        bits = min(len(m) for m in maps) * 8
-        words = np.array([folded(m, bits) for m in maps])
-        others = np.flatnonzero(role != MEETS)
-        found = []
-        for i in np.flatnonzero(role != IS_MET):
+    dealt = ["key", "band", "row", "column"]
+    # Tiles are many and mostly tiny, so they stream by in order; none is a call of its own.
+    ordered = sided.select(*dealt, "role", "node", "size", "component", "bitmap")
+    ordered = ordered.repartition(*dealt).sortWithinPartitions(*dealt)
+    return map_rows(ordered, _tile_pairs, "a long, b long").distinct()
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the tiles that come by in order."""
+    open_tile = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if open_tile is not None:
+            table = pa.concat_tables([open_tile, table])
+        change = np.zeros(max(table.num_rows - 1, 0), dtype=bool)
+        for name in ("key", "band", "row", "column"):
+            values = table.column(name).to_numpy()
+            change |= values[1:] != values[:-1]
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        open_tile = table.slice(starts[-1])
+        if len(starts) > 1:
+            yield _pairs_between(table.slice(0, starts[-1]), starts)
+    if open_tile is not None and open_tile.num_rows > 1:
+        yield _pairs_between(open_tile, [0, open_tile.num_rows])
+
+
+def _pairs_between(table: pa.Table, starts: list[int]) -> pa.RecordBatch:
+    role = table.column("role").to_numpy()
+    nodes = table.column("node").to_numpy()
+    sizes = table.column("size").to_numpy().astype(np.int64)
+    parts = table.column("component").to_numpy()
+    maps = table.column("bitmap").to_pylist()
+    found = []
+    for start, end in zip(starts, starts[1:]):
+        if end - start < 2:
+            continue
+        others = start + np.flatnonzero(role[start:end] != MEETS)
+        words, bits = None, 0
+        for i in (start + np.flatnonzero(role[start:end] != IS_MET)).tolist():
             size = sizes[others]
             fit = (parts[others] != parts[i]) & (nodes[others] != nodes[i])
             fit &= (WHOLE * size >= LEAST * sizes[i]) & (WHOLE * sizes[i] >= LEAST * size)
             near = others[fit]
-            if len(near):
-                apart = np.bitwise_count(words[near] ^ words[i]).sum(axis=1)
-                near = near[allows(sizes[near] + sizes[i], apart.astype(np.int64))]
-                low, high = np.minimum(nodes[near], nodes[i]), np.maximum(nodes[near], nodes[i])
-                found.append(np.column_stack([low, high]))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return (
-        sided.groupBy("key", "band", "row", "column")
-        .applyInArrow(compare, "a long, b long")
-        .distinct()
-    )
+            if not len(near):
+                continue
+            if words is None:
+                bits = 8 * min(map(len, maps[start:end]))
+                words = np.array([folded(m, bits) for m in maps[start:end]])
+            apart = np.bitwise_count(words[near - start] ^ words[i - start]).sum(axis=1)
+            near = near[allows(sizes[near] + sizes[i], apart.astype(np.int64))]
+            low, high = np.minimum(nodes[near], nodes[i]), np.maximum(nodes[near], nodes[i])
+            found.append(np.column_stack([low, high]))
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
