@@ -13,7 +13,7 @@ SALTS = 8
 
 
 def filter_path(df: DataFrame, path: str, on: str = "path") -> DataFrame:
-    """Rows of one path. The comparison reaches the Parquet scan."""
+    """Rows of one path. On a stored column the comparison reaches the Parquet scan."""
     return df.filter(F.col(on) == path)
 
 

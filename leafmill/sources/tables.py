@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLE_FORMAT = "parquet"
+# Error conditions of a missing table and a missing column.
+MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_COLUMN")
 
 
 def write_overwrite(
@@ -36,10 +38,15 @@ def project(store: DataFrame, *fields: str) -> DataFrame:
 
 
 def project_or_empty(spark: SparkSession, table: str, *fields: str) -> DataFrame:
-    """The given fields as strings, or no rows at all if the table or a field is missing."""
+    """The given fields as strings, or no rows at all if the table or a field is missing.
+
+    Any other problem is raised.
+    """
     try:
         return spark.table(table).select(*(F.col(f).cast("string").alias(f) for f in fields))
-    except AnalysisException:
+    except AnalysisException as problem:
+        if not (problem.getCondition() or "").startswith(MISSING):
+            raise
         return spark.createDataFrame([], T.StructType([T.StructField(f, T.StringType()) for f in fields]))
 
 
