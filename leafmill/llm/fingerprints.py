@@ -28,7 +28,7 @@ from leafmill.plans.workdir import written
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003, 998_244_353)
 SPAN = 10
-SKETCH = 32
+SKETCH = 64
 
 
 def reduced(values: np.ndarray) -> np.ndarray:
@@ -116,7 +116,7 @@ class PrefixHash:
         starts = np.arange(self.size - wide + 1)
         hashes = self.spans(starts, starts + wide)
         hashes = hashes * np.uint64(0x9E3779B97F4A7C15)
-        hashes >>= np.uint64(32)  # half of the bits tell spans apart well enough
+        hashes ^= hashes >> np.uint64(32)
         wanted = 2 * SKETCH
         while len(hashes) > wanted:
             least = np.unique(np.partition(hashes, wanted)[:wanted])
@@ -128,8 +128,24 @@ class PrefixHash:
     def fingerprint(self) -> tuple[str, np.ndarray]:
         """Length, whole hash and sketch as one string, and the sketch."""
         least = self.sketch()
-        shown = least.astype(">u4").tobytes().hex()
-        return f"{self.size:x}:{self.span(0, self.size):016x}:{shown}", least
+        return shown(self.size, self.span(0, self.size), least), least
+
+
+def shown(size: int, whole: int, sketch: np.ndarray) -> str:
+    return f"{size:x}:{whole:016x}:{sketch.astype('>u8').tobytes().hex()}"
+
+
+def rest_of(sketch: np.ndarray, base: np.ndarray) -> tuple[bytes, bytes]:
+    """A sketch as what it takes from another one (a bit for each place) and the hashes besides."""
+    taken = np.isin(base, sketch, assume_unique=True)
+    own = sketch[~np.isin(sketch, base, assume_unique=True)]
+    return np.packbits(taken).tobytes(), own.tobytes()
+
+
+def from_rest(taken: bytes, own: bytes, base: np.ndarray) -> np.ndarray:
+    """The sketch that ``rest_of`` has taken apart."""
+    flags = np.unpackbits(np.frombuffer(taken, np.uint8), count=len(base)).astype(bool)
+    return np.sort(np.concatenate([base[flags], np.frombuffer(own, np.uint64)]))
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
@@ -159,22 +175,40 @@ FIELDS = [
 ]
 
 
+#: What a row holds between the two steps: hashes as bytes, those of the edited text only where
+#: they differ from the text's own. A fingerprint as text is twice as long.
+PACKED = [
+    ("n_chars", pa.int64(), "long"),
+    ("edited_sha256", pa.binary(), "binary"),
+    ("whole", pa.int64(), "long"),
+    ("sketch", pa.binary(), "binary"),
+    ("edited_chars", pa.int64(), "long"),
+    ("edited_whole", pa.int64(), "long"),
+    ("edited_taken", pa.binary(), "binary"),
+    ("edited_rest", pa.binary(), "binary"),
+    *FIELDS[4:],
+]
+
+
 class Marked:
-    """A text with its prefix arrays, fingerprint and sketch."""
+    """A text with its prefix arrays, hash and sketch."""
 
     def __init__(self, text: str) -> None:
         self.text, self.hashes = text, PrefixHash(text)
-        self.print, self.sketch = self.hashes.fingerprint()
+        self.whole, self.sketch = self.hashes.span(0, self.hashes.size), self.hashes.sketch()
 
 
 def compare(one: Marked, following: Marked) -> tuple:
-    """The values of ``FIELDS`` for a text and the one after it."""
+    """The values of ``PACKED`` for a text and the one after it."""
     changed = Marked(edited_text(one.text, following.text))
     return (
         one.hashes.size,
-        hashlib.sha256(changed.text.encode("utf-8")).hexdigest(),
-        one.print,
-        changed.print,
+        hashlib.sha256(changed.text.encode("utf-8")).digest(),
+        one.whole,
+        one.sketch.tobytes(),
+        changed.hashes.size,
+        changed.whole,
+        *rest_of(changed.sketch, one.sketch),
         likeness(one.sketch, changed.sketch),
         likeness(one.sketch, following.sketch),
         one.hashes.common_extension(0, changed.hashes, 0),
@@ -182,6 +216,14 @@ def compare(one: Marked, following: Marked) -> tuple:
     )
 
 
+def unpacked(values: tuple) -> tuple:
+    """The values of ``FIELDS`` from those of ``PACKED``."""
+    size, digest, whole, sketch, edited_size, edited_whole, taken, own, *rest = values
+    base = np.frombuffer(sketch, np.uint64)
+    edited = shown(edited_size, edited_whole, from_rest(taken, own, base))
+    return size, digest.hex(), shown(size, whole, base), edited, *rest
+
+
 def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, fingerprint, n_chars`` per row; NULL counts as the empty text. No shuffle."""
     kind = id_type(df, id_col)
@@ -189,10 +231,10 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            shown = [PrefixHash(t).fingerprint()[0] for t in texts]
+            prints = [PrefixHash(t).fingerprint()[0] for t in texts]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(shown, pa.string()), sizes],
+                [batch.column(0), pa.array(prints, pa.string()), sizes],
                 ["id", "fingerprint", "n_chars"],
             )
 
@@ -209,12 +251,13 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     The rows are range-partitioned by descending id once; a task compares neighbours as they
     stream by and hands on only its first and last text, with which the borders between tasks are
-    closed afterwards. The result is written to the shared folder, so both come from one run.
+    closed afterwards. The rows are written to the shared folder as ``PACKED``, so both come from one
+    run.
     """
     kind = id_type(df, id_col)
     tidy(df.sparkSession)
-    names = [name for name, _, _ in FIELDS]
-    described = ", ".join(f"{name} {shown}" for name, _, shown in FIELDS)
+    names = [name for name, _, _ in PACKED]
+    described = ", ".join(f"{name} {sql}" for name, _, sql in PACKED)
     schema = f"id {kind}, {described}, task int, edge string, text string"
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,12 +266,12 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*rows))
-            kinds = [id_kind, *[k for _, k, _ in FIELDS], pa.int32(), pa.string(), pa.string()]
+            kinds = [id_kind, *[k for _, k, _ in PACKED], pa.int32(), pa.string(), pa.string()]
             made = [pa.array(c, k) for c, k in zip(columns, kinds)]
             rows.clear()
             return pa.RecordBatch.from_arrays(made, ["id", *names, "task", "edge", "text"])
 
-        blank = (None,) * len(FIELDS)
+        blank = (None,) * len(PACKED)
         for batch in small_batches(batches):
             id_kind = batch.column(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -247,8 +290,8 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     order = [F.desc_nulls_last("id"), F.xxhash64("text")]
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    done = written(df.sparkSession, map_rows(placed, walk, schema), "fingerprints")
-    result = done.where(F.col("edge").isNull()).select("id", *names)
+    done = written(df.sparkSession, map_rows(placed, walk, schema), "fingerprints", "zstd")
+    result = _shown(done.where(F.col("edge").isNull()).select("id", *names), kind)
 
     # One first and one last row per task: link each last to the next task's first.
     tasks = [r["task"] for r in done.where("edge = 'first'").select("task").orderBy("task").collect()]
@@ -274,7 +317,22 @@ def neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 compare(Marked(a), Marked(b))
                 for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             ]
-            made = [pa.array(c, k) for c, (_, k, _) in zip(zip(*found), FIELDS)]
+            made = [pa.array(c, k) for c, (_, k, _) in zip(zip(*found), PACKED)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", *names])
+
+    return result.unionByName(_shown(map_rows(borders, close, f"id {kind}, {described}"), kind))
+
+
+def _shown(packed: DataFrame, kind: str) -> DataFrame:
+    """``id`` and ``FIELDS`` from ``id`` and ``PACKED``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [unpacked(v) for v in zip(*[c.to_pylist() for c in batch.columns[1:]])]
+            columns = list(zip(*rows)) if rows else [()] * len(FIELDS)
+            made = [pa.array(c, k) for c, (_, k, _) in zip(columns, FIELDS)]
+            names = [name for name, _, _ in FIELDS]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", *names])
 
-    return result.unionByName(map_rows(borders, close, f"id {kind}, {described}"))
+    described = ", ".join(f"{name} {sql}" for name, _, sql in FIELDS)
+    return map_rows(packed, run, f"id {kind}, {described}")

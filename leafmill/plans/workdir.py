@@ -32,8 +32,8 @@ def fresh_table(name: str) -> str:
     return f"leafmill_{name}_{uuid.uuid4().hex}"
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` computed once into the shared folder; later steps read the files, whose size is known."""
     path = fresh_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
