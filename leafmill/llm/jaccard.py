@@ -159,16 +159,16 @@ def _prefix_rows(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     return map_rows(texts, run, "key long, node long, size int")
 
 
-def wanted_filter(nodes: DataFrame, column: str) -> np.ndarray:
-    """A table of ``WANTED_BITS`` bits with those of the given nodes set, whatever their number."""
-    bit = F.pmod(F.col(column), F.lit(WANTED_BITS))
+def wanted_filter(nodes: DataFrame, column: str, size: int = WANTED_BITS) -> np.ndarray:
+    """A table of ``size`` bits with those of the given nodes set, whatever their number."""
+    bit = F.pmod(F.col(column), F.lit(size))
     words = (
         nodes.select((bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
         .toArrow()
     )
-    table = np.zeros(WANTED_BITS // 64, dtype=np.uint64)
+    table = np.zeros(size // 64, dtype=np.uint64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return table
 

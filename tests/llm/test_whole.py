@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from leafmill.llm import fingerprints
+from leafmill.llm import chaining, fingerprints
 
 
 def text_of(n, rng):
@@ -30,3 +30,40 @@ def test_fingerprints_hold_64_whole_hashes(spark):
         assert got[doc]["near_next"] == fingerprints.likeness(one.sketch(), after.sketch())
     high = np.concatenate([fingerprints.PrefixHash(t).sketch() for t in texts.values()])
     assert (high > np.uint64(0xFFFFFFFF)).any()
+
+
+def test_passages_of_50_words_are_all_found(spark):
+    rng = random.Random(8)
+    made, want = [], {}
+    for k in range(400):
+        size, changes = rng.randint(50, 60), (0, 2, 5)[k % 3]
+        passage = text_of(size, rng).split()
+        copy = list(passage)
+        for at in rng.sample(range(1, size - 1), changes):
+            copy[at] = "changed" + str(at)
+        equal = [a == b for a, b in zip(passage, copy)]
+        runs = [i for i in range(size - 4) if all(equal[i : i + 5])]
+        ends = runs[0], runs[-1] + 5
+        made.append((2 * k, text_of(30, rng) + " " + " ".join(passage) + " " + text_of(30, rng)))
+        made.append((2 * k + 1, text_of(20, rng) + " " + " ".join(copy) + " " + text_of(40, rng)))
+        if ends[1] - ends[0] >= 50:  # by brute force: words from the first common seed to the last
+            want[2 * k + 1] = 20 + ends[0], 20 + ends[1]
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    got = {r["id"]: r for r in chaining.passages(frame).collect()}
+    assert len(want) > 250
+    for doc, (start, end) in want.items():
+        assert got[doc]["other"] == doc - 1
+        assert got[doc]["passage_start"] <= start and got[doc]["passage_end"] >= end
+
+
+def test_thinned_seeds_cover_the_same_words():
+    rng = random.Random(4)
+    for _ in range(200):
+        spots = sorted({(p, p + rng.choice([0, 0, 0, 0, 7])) for p in rng.sample(range(60), 40)})
+        kept = chaining.thinned(spots)
+        assert set(kept) <= set(spots) and kept == sorted(set(kept))
+
+        def covered(places):
+            return {(p + i, q + i) for p, q in places for i in range(chaining.WORDS)}
+
+        assert covered(kept) == covered(spots)
