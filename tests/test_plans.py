@@ -33,7 +33,7 @@ def test_row_queries_move_nothing(spark, many_splits, name):
     assert "Exchange" not in _plan(catalogue.queries()[name](spark, FOLDER))
 
 
-@pytest.mark.parametrize("name", list(catalogue.queries()))
+@pytest.mark.parametrize("name", [query.__name__ for query in catalogue._QUERIES])
 def test_no_python_in_default_queries(spark, name):
     plan = _plan(catalogue.queries()[name](spark, FOLDER))
     assert not [node for node in PYTHON_NODES if node in plan]
