@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, chaining, fingerprints, jaccard, langid, packing, quality, secrets, suffixes, toxicity
+from leafmill.llm import (
+    bpe,
+    chaining,
+    fingerprints,
+    jaccard,
+    langid,
+    licenses,
+    negatives,
+    packing,
+    quality,
+    secrets,
+    spelling,
+    suffixes,
+    toxicity,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -104,7 +118,104 @@ def op10_secrets(spark, sf):
     )
 
 
-_ALL = [op1_toxicity, op2_fingerprints, op3_packing, op4_language, op5_jaccard, op6_bpe, op7_substrings, op8_suffixes, op9_quality, op10_secrets]
+def op11_licenses(spark, sf):
+    found = licenses.find(_table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+    own, every = F.col("base.label"), F.concat("base.label", "spans.label")
+
+    def listed(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    likeness = F.coalesce(F.array_max("spans.likeness"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        listed(own).alias("base_labels"),
+        listed(every).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(likeness).alias("score"),
+    )
+
+
+def op12_spelling(spark, sf):
+    return spelling.variants(_table(spark, sf, "documents"))
+
+
+def op13_negatives(spark, sf):
+    rows = _table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+_ALL = [
+    op1_toxicity,
+    op2_fingerprints,
+    op3_packing,
+    op4_language,
+    op5_jaccard,
+    op6_bpe,
+    op7_substrings,
+    op8_suffixes,
+    op9_quality,
+    op10_secrets,
+    op11_licenses,
+    op12_spelling,
+    op13_negatives,
+]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+# crc32 over the bytes of a text, as unsigned number; letters beyond ASCII are two bytes.
+_CRC_TABLE = """(SELECT list(x ORDER BY i) FROM (SELECT i, list_reduce(list_prepend(i::BIGINT,
+    range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END) AS x
+    FROM range(256) t(i)) q)"""
+_BYTES = """flatten(list_transform(string_split({x}, ''), lambda c: CASE WHEN unicode(c) < 128
+    THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64]::BIGINT[] END))"""
+_CRC = f"""xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}),
+    lambda a, b: xor(a // 256, crc[(xor(a, b) % 256) + 1])))"""
+_LOW = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SPELLING = f"""WITH RECURSIVE
+    found AS (SELECT doc_id, {_LOW.format(x="unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run
+        FROM documents),
+    runs AS (SELECT doc_id, run, count(*) AS k FROM found WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (SELECT run, k, {_CRC.format(x="doc_id || ':' || run")} AS h
+        FROM runs, (SELECT {_CRC_TABLE} AS crc) t),
+    altered AS (SELECT k, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT)
+        || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+    words AS (SELECT word, sum(k)::BIGINT AS n FROM altered WHERE length(word) >= 7
+        GROUP BY word HAVING sum(k) >= 2),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+    less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+    pairs AS (
+        SELECT a.word, b.word AS other, b.n FROM less a JOIN less b
+            ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+        UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+    near AS (SELECT word, count(*) AS n_near, max(n) AS best FROM pairs GROUP BY word),
+    forms AS (SELECT w.word, w.n, coalesce(a.n_near, 0) AS n_near, min(p.other) AS form, a.best
+        FROM words w LEFT JOIN near a ON w.word = a.word
+        LEFT JOIN pairs p ON p.word = w.word AND p.n = a.best AND a.best >= 10 * w.n GROUP BY ALL),
+    ways(word, root) AS (SELECT word, word FROM forms WHERE form IS NULL
+        UNION ALL SELECT f.word, w.root FROM ways w JOIN forms f ON f.form = w.word)
+    SELECT f.word, form, root, n, n_near, CASE WHEN form IS NOT NULL THEN best END AS form_n
+    FROM forms f JOIN ways w ON f.word = w.word"""
+
+_NEGATIVES = """WITH
+    rows AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND
+            len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    scores AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+        list_dot_product(a.v, b.v)::BIGINT AS score
+        FROM rows a JOIN rows b ON a.id <> b.id WHERE a.id % 100 = 0),
+    positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id
+            ORDER BY score DESC, id))::INT AS rank, id AS negative_id, positive_score,
+        score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op12_spelling": _SPELLING, "op13_negatives": _NEGATIVES}
