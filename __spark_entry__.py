@@ -26,7 +26,7 @@ from leafmill.operators import (
 from leafmill.plans import flow, ingest, parallel
 from leafmill.plans.workdir import fresh_dir, fresh_table
 from leafmill.sources import files, tables
-from leafmill.sources.store import ItemStore
+from leafmill.sources.keyed import KeyedTable
 from leafmill.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,7 +82,12 @@ def list_files_by_suffix(spark, sf):
 
 
 def list_files_tree(spark, sf):
-    listed = files.list_all_files(spark, sf, ".parquet")
+    listed = files.list_files(spark, sf, ".parquet")
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+def list_files_part(spark, sf):
+    listed = files.list_files_containing(spark, sf, "s.parq")
     return listed.select(F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
@@ -139,7 +144,7 @@ def sql_select_all(spark, sf):
 
 def store_project_paths(spark, sf):
     schema = "id string, Filepath string, text string"
-    store = ItemStore(spark, fresh_dir(spark, "store"), schema)
+    store = KeyedTable(spark, fresh_dir(spark, "store"), schema)
     store.load(
         _documents(spark, sf).select(
             F.col("doc_id").cast("string").alias("id"), F.col("path").alias("Filepath"), "text"
@@ -177,7 +182,7 @@ def upsert_by_id(spark, sf):
 
 
 def truncate_store(spark, sf):
-    store = ItemStore(spark, fresh_dir(spark, "store"), "id bigint, text string")
+    store = KeyedTable(spark, fresh_dir(spark, "store"), "id bigint, text string")
     store.load(_table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
     deleted = store.delete_all()
     return store.state().agg(
@@ -442,6 +447,33 @@ def stream_bronze(spark, sf):
     return table.select("o_orderkey", "o_custkey", "year_month")
 
 
+def stream_bronze_merged(spark, sf):
+    """Files of finished orders first, then files that also have a priority."""
+    folder, target = fresh_dir(spark, "raw"), fresh_dir(spark, "bronze")
+    checkpoint = fresh_dir(spark, "checkpoint")
+    stamped = ingest.stamp(_table(spark, sf, "orders"), F.col("o_orderdate"))
+    kept = stamped.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "year_month")
+    finished = F.col("o_orderstatus") == "F"
+    kept.where(finished).drop("o_orderpriority").write.mode("append").parquet(folder)
+    flows.process_folder(spark, folder, target, checkpoint)
+    kept.where(~finished).write.mode("append").parquet(folder)
+    return flows.process_folder(spark, folder, target, checkpoint)
+
+
+def stream_overwritten(spark, sf):
+    """The copy of a raw table that is loaded twice: the second load holds the first one's rows."""
+    raw, bronze = fresh_table("raw"), fresh_table("bronze")
+    path, target = fresh_dir(spark, "raw"), fresh_dir(spark, "bronze")
+    checkpoint = fresh_dir(spark, "checkpoint")
+    events = ingest.stamp(_table(spark, sf, "events"), F.col("ts")).drop("timestamp")
+    for rows in (events.where("event_type = 'click'"), events):
+        tables.write_overwrite(rows, raw, path)
+        copied = flows.process_table(
+            spark, raw, bronze, checkpoint, path=target, identity=["event_id"]
+        )
+    return copied.select("event_id", "event_type", "year_month")
+
+
 def stream_view(spark, sf):
     source, view = fresh_table("events"), fresh_table("view")
     tables.write_overwrite(_table(spark, sf, "events"), source, fresh_dir(spark, "events"))
@@ -453,14 +485,14 @@ def stream_view(spark, sf):
 
 
 def stream_new_files(spark, sf):
-    facts = _file_facts(flows.stream_new_files(spark, sf, ".parquet"))
+    facts = _file_facts(flows.stream_new_files(spark, sf, fresh_dir(spark, "arrivals"), ".parquet"))
     return flows.run_to_table(
         facts, fresh_table("files"), fresh_dir(spark, "checkpoint"), path=fresh_dir(spark, "files")
     )
 
 
 def stream_upsert(spark, sf):
-    store = ItemStore(spark, fresh_dir(spark, "store"), "id bigint, text string, role string")
+    store = KeyedTable(spark, fresh_dir(spark, "store"), "id bigint, text string, role string")
     store.load(
         _labelled(spark, sf).select(
             F.col("doc_id").alias("id"), "text", F.lit(None).cast("string").alias("role")
@@ -469,7 +501,7 @@ def stream_upsert(spark, sf):
     turns = flows.stream_parquet(
         spark, sf, _table(spark, sf, "conversations").schema, "conversations.parquet"
     ).select(F.col("conv_id").alias("id"), "text", "role", F.col("turn").alias("seq"))
-    flows.upsert_stream(turns, store, "seq", fresh_dir(spark, "checkpoint"), "turns")
+    flows.upsert_stream(turns, store, "seq", fresh_dir(spark, "checkpoint"))
     return store.state()
 
 
@@ -495,6 +527,7 @@ def summarized_documents(spark, sf):
 _QUERIES: list[Query] = [
     list_files_by_suffix,
     list_files_tree,
+    list_files_part,
     list_files_by_substring,
     scan_binary_files,
     ingest_twice,
@@ -532,6 +565,8 @@ _QUERIES: list[Query] = [
     vector_records,
     vector_flow,
     stream_bronze,
+    stream_bronze_merged,
+    stream_overwritten,
     stream_view,
     stream_new_files,
     stream_upsert,
@@ -770,6 +805,9 @@ def oracle_sql() -> dict[str, str]:
         "list_files_tree": (
             f"SELECT parse_filename(file) AS name FROM glob('{ORACLE_DIR}/*.parquet')"
         ),
+        "list_files_part": f"""
+            SELECT parse_filename(file) AS name FROM glob('{ORACLE_DIR}/*')
+            WHERE contains(file, 's.parq')""",
         "filter_source_eq": "SELECT doc_id, source, n_chars FROM documents WHERE source = 'src1'",
         "dedup_exact_keys": """
             SELECT doc_id, lang, n_chars, source FROM documents
@@ -902,6 +940,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_bronze": (
             "SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m') AS year_month FROM orders"
         ),
+        "stream_bronze_merged": """
+            SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') AS year_month,
+                CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+            FROM orders""",
+        "stream_overwritten": (
+            "SELECT event_id, event_type, strftime(ts, '%Y-%m') AS year_month FROM events"
+        ),
         "stream_view": "SELECT event_id, event_type, props FROM events",
         "stream_new_files": _FILE_FACTS,
         "stream_upsert": f"""

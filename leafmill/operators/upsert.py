@@ -56,6 +56,44 @@ def collapse(
     return _collapse(batch, F.struct(*key), plain, seq, maps).select("_key.*", *plain, *maps)
 
 
+def collapse_keyed(
+    batch: DataFrame, key: Column, names: Sequence[str], seq: str, maps: Sequence[str] = ()
+) -> DataFrame:
+    """As :func:`collapse`, with the key as one struct ``_key`` in place of its columns ``names``."""
+    given = [m for m in maps if m in batch.columns]
+    plain = [c for c in batch.columns if c not in (*names, seq, *given)]
+    return _collapse(batch, key, plain, seq, given)
+
+
+def merge_keyed(
+    old: DataFrame,
+    new: DataFrame,
+    on: Sequence[str],
+    columns: Sequence[str],
+    names: Sequence[str],
+    maps: Sequence[str] = (),
+) -> DataFrame:
+    """``columns`` and ``on`` of ``old`` after the collapsed batch ``new``: one full outer join.
+
+    Both sides have one row per ``on``, which holds the key as the struct ``_key`` with the fields
+    ``names``. Columns that ``new`` lacks keep their values.
+    """
+    given = [c for c in columns if c in new.columns and c not in names]
+    marked = [F.col(c).alias(f"_n_{c}") for c in given]
+    both = old.join(new.select(*on, *marked, F.lit(True).alias("_hit")), list(on), "full")
+
+    def value(c: str) -> Column:
+        if c in names:
+            return F.col("_key")[c].alias(c)
+        if c not in given:
+            return F.col(c)
+        if c in maps:
+            return _merge_maps(F.col(c), F.col(f"_n_{c}")).alias(c)
+        return F.when(F.col("_hit"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
+
+    return both.select(*on, *(value(c) for c in columns))
+
+
 def upsert(
     store: DataFrame,
     batch: DataFrame,

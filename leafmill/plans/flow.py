@@ -13,7 +13,7 @@ from leafmill.functions.text import clean_text, document_id, token_count
 from leafmill.models import Model, extract
 from leafmill.operators.extraction import first_text, pages_text
 from leafmill.operators.summaries import chunk_summaries, summary_map_reduce
-from leafmill.sources.store import ItemStore
+from leafmill.sources.keyed import KeyedTable
 
 
 def summarized_documents(
@@ -48,15 +48,17 @@ def items_from_files(
     keep: Sequence[str] = (),
     **retry: object,
 ) -> DataFrame:
-    """Store items of binary file rows: ``(id, Filepath, Metadata, text, summary, error)``.
+    """Store items of file rows: ``(id, Filepath, Metadata, text, summary, error)``.
 
     ``extractor`` turns the contents into ``{"text": ..., "pages": [...]}``, see
     :func:`leafmill.models.extract`; its text is taken, else its pages joined. ``id`` is made of
     the path's fields, which are also the metadata. A file that cannot be read keeps its message
-    and gets an empty summary. The extractor runs once per file, everything after it is native.
-    ``keep`` names further columns to pass through.
+    and gets an empty summary; so does a row without content, whose ``error`` says why. The extractor
+    runs once per file, everything after it is native. ``keep`` names further columns to pass through.
     """
-    read = extract(files.select("path", "content", *keep), "content", extractor, **retry)
+    earlier = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    given = files.select("path", "content", earlier.alias("_unread"), *keep)
+    read = extract(given, "content", extractor, **retry)
     texts = read.select(
         "path",
         *keep,
@@ -64,7 +66,7 @@ def items_from_files(
         first_text(
             F.col("value.text"), pages_text(F.col("value.pages")), F.lit(False)
         ).alias("text"),
-        "error",
+        F.coalesce("_unread", "error").alias("error"),
     )
     metadata = F.create_map(
         *(x for c in PATH_FIELDS for x in (F.lit(c), F.col(f"fields.{c}")))
@@ -87,12 +89,7 @@ ITEM_SCHEMA = (
 
 
 def store_summaries(
-    df: DataFrame,
-    store: ItemStore,
-    text: str,
-    id_parts: Sequence[str],
-    seq: str,
-    token: str | None = None,
+    df: DataFrame, store: KeyedTable, text: str, id_parts: Sequence[str], seq: str
 ) -> None:
     """Summarise each document by map-reduce and upsert ``(id, summary)`` into ``store``.
 
@@ -104,4 +101,4 @@ def store_summaries(
         seq,
     )
     items = summary_map_reduce(cleaned, ["id", seq], "cleaned")
-    store.upsert(items, seq, token)
+    store.upsert(items, seq)

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.sources.files import MAX_CONTENT, read_files
-from leafmill.sources.tables import TABLE_FORMAT, write_overwrite
+from leafmill.plans.workdir import written
+from leafmill.sources.files import MAX_CONTENT, list_tree, new_files, with_contents
+from leafmill.sources.tables import TABLE_FORMAT, append, write_overwrite
 
 MONTH = "yyyy-MM"
-# What identifies a version of a file, and the mark of a table that is replaced on ingest.
-IDENTITY = ["path", "modificationTime", "length"]
-REPLACED = "leafmill.replaced"
 
 
 def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -32,25 +30,20 @@ def ingest_files(
     table_format: str = TABLE_FORMAT,
     limit: int = MAX_CONTENT,
 ) -> DataFrame:
-    """Scan ``folder``, stamp every new file row and append it to ``table``. Returns the table.
+    """List ``folder``, read every new file, stamp its row and append it to ``table``. Returns the table.
 
     A file is new if the table has no row of its path, time and length, so a second run adds nothing,
-    and the table can be streamed. With ``replace`` the table and its schema are replaced instead
-    and marked, so that :func:`leafmill.streaming.flows.process_table` refuses to stream it. Files
-    that cannot be read as one value, or have a hidden name, are rows with an ``error``, see
-    :func:`leafmill.sources.files.read_files`.
+    and the table can be streamed. Names are compared before anything is read: contents of known
+    files are not opened, those of new ones go from the task that reads them into the table. With
+    ``replace`` the table and its schema are replaced instead, by all files. A file that cannot be
+    read as one value is a row with an ``error``, see :func:`leafmill.sources.files.with_contents`.
     """
-    rows = read_files(spark, folder, suffix, limit)
+    listed = list_tree(spark, folder, suffix)
     if replace:
-        made = write_overwrite(stamp(rows), table, path, table_format)
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REPLACED}' = 'true')")
-        return made
+        rows = stamp(with_contents(spark, listed, folder, limit))
+        return write_overwrite(rows, table, path, table_format)
     if spark.catalog.tableExists(table):
-        known = spark.table(table).select(*IDENTITY)
-        same = [rows[c].eqNullSafe(known[c]) for c in IDENTITY]
-        rows = rows.join(known, same, "left_anti")
-    writer = stamp(rows).write.format(table_format).mode("append").option("mergeSchema", "true")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return spark.table(table)
+        listed = written(spark, new_files(listed, spark.table(table)), "new")
+        if listed.isEmpty():
+            return spark.table(table)
+    return append(stamp(with_contents(spark, listed, folder, limit)), table, path, table_format)

@@ -1,14 +1,28 @@
-"""Binary files: listing and scanning."""
+"""Files: listing a tree, and reading contents.
+
+Names and contents are separate steps. A tree is listed breadth first in tasks, one folder per row,
+until no folder is left; every name is a row, also those that begin with ``_`` or ``.``, which
+Spark's file sources leave out. Contents are read by the task that holds the name, after every filter
+and join on names, and are never shuffled.
+
+Tasks reach the files through Arrow's file systems (local, HDFS, S3, GCS, Azure). A path that the
+session resolves to another one, such as a mount, is resolved once on the driver.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.operators.filters import keep_substring
+from leafmill.plans.workdir import fresh_dir
+from leafmill.plans.workers import ship_package
 
 # Fixed value: the columns of a binary file row.
 BINARY_SCHEMA = T.StructType(
@@ -19,105 +33,197 @@ BINARY_SCHEMA = T.StructType(
         T.StructField("content", T.BinaryType(), True),
     ]
 )
+#: What identifies a version of a file.
+IDENTITY = ["path", "modificationTime", "length"]
 
-# The largest content one value can hold.
+# The largest content one value can hold, and the bytes of contents in one batch unless one is larger.
 MAX_CONTENT = 2**31 - 1 - 1024
+BATCH_BYTES = 8 << 20
+#: Entries that a task lists below one folder before it hands the folders that are left on.
+ENTRIES = 10_000
+#: Names of one store in Hadoop and in Arrow.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 
+Connect = Callable[[str], tuple[arrow_fs.FileSystem, str]]
 
-def scan_files(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    suffix: str = ".pdf",
-    modified_after: str | None = None,
-) -> DataFrame:
-    """Every file below ``paths`` whose name ends in ``suffix``: path, time, length, content.
 
-    Content is read only if it is selected, and filters on length and time reach the scan.
-    ``modified_after`` (``2024-01-31T00:00:00``) leaves older files out while listing, so an
-    incremental run does not open what an earlier one has read. The driver holds the listing: give
-    a very large tree folder by folder, or use :func:`leafmill.streaming.flows.stream_new_files`.
-    """
-    reader = (
-        spark.read.format("binaryFile")
-        .schema(BINARY_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}")
+def connect_arrow(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+    """The file system of ``uri`` and the path in it."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return arrow_fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return arrow_fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{quote(rest, safe='/:@')}")
+
+
+def located(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """``folder`` as the session names it and as tasks reach it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (
+        fs.makeQualified(path).toString().rstrip("/"),
+        fs.resolvePath(path).toString().rstrip("/"),
     )
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader.load(paths if isinstance(paths, str) else list(paths))
 
 
-def list_files(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    suffix: str = ".pdf",
-    modified_after: str | None = None,
+_LISTED = "folder string, path string, millis bigint, length bigint"
+
+
+def _expand(root: str, reached: str, suffix: str, connect: Connect, left) -> Callable:
+    """Task that lists folders (given relative to the root) and what lies below them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = connect(reached)
+
+        def below(folder: str) -> Iterator[tuple]:
+            open_folders, seen = [folder], 0
+            while open_folders and seen < ENTRIES:
+                at = open_folders.pop()
+                infos = store.get_file_info(
+                    arrow_fs.FileSelector(f"{base}/{at}".rstrip("/") or "/", allow_not_found=True)
+                )
+                seen += len(infos) + 1
+                for info in infos:
+                    inner = f"{at}/{info.base_name}".lstrip("/")
+                    if info.type == arrow_fs.FileType.Directory:
+                        open_folders.append(inner)
+                    elif info.type == arrow_fs.FileType.File and info.base_name.endswith(suffix):
+                        millis = (info.mtime_ns or 0) // 1_000_000
+                        yield None, f"{root}/{inner}", millis, info.size
+            left.add(len(open_folders))
+            for rest in open_folders:
+                yield rest, None, None, None
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            folders, paths, times, sizes = zip(*rows) if rows else ((), (), (), ())
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(folders, pa.string()),
+                    pa.array(paths, pa.string()),
+                    pa.array(times, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                ],
+                ["folder", "path", "millis", "length"],
+            )
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                rows: list[tuple] = []
+                for row in below(folder):
+                    rows.append(row)
+                    if len(rows) >= ENTRIES:
+                        yield out(rows)
+                        rows = []
+                yield out(rows)
+
+    return run
+
+
+def list_tree(
+    spark: SparkSession, folder: str, suffix: str = "", connect: Connect = connect_arrow
 ) -> DataFrame:
-    """Paths of the files below ``paths`` whose name ends in ``suffix``. No content is read."""
-    return scan_files(spark, paths, suffix, modified_after).select("path")
-
+    """``path, modificationTime, length`` of every file below ``folder`` whose name ends in ``suffix``.
 
-def list_all_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
-    """Paths of the files below ``folder``, also of those with hidden names. No content is read."""
-    return list_files(spark, folder, suffix).union(hidden_files(spark, folder, suffix).select("path"))
+    Breadth first: each round lists the folders that the one before left open, spread over the tasks,
+    and writes what it found to the shared folder; only the number of open folders comes to the
+    driver. A task goes on below a folder until it has seen ``ENTRIES`` entries, so a small tree takes
+    one round. The entries of a single folder are listed by one task. No content is opened. An empty
+    folder gives no rows; a missing one fails.
+    """
+    ship_package(spark)
+    context = spark.sparkContext
+    root, reached = located(spark, folder)
+    folders, rounds = spark.createDataFrame([("",)], "folder string").coalesce(1), []
+    while True:
+        left = context.accumulator(0)
+        rounds.append(fresh_dir(spark, "listing"))
+        run = _expand(root, reached, suffix, connect, left)
+        folders.mapInArrow(run, _LISTED).write.parquet(rounds[-1])
+        if not left.value:
+            break
+        level = spark.read.schema(_LISTED).parquet(rounds[-1]).where("folder IS NOT NULL")
+        folders = level.select("folder").repartition(context.defaultParallelism, "folder")
+    found = spark.read.schema(_LISTED).parquet(*rounds).where("folder IS NULL")
+    return found.select("path", F.timestamp_millis("millis").alias("modificationTime"), "length")
 
 
-def list_files_containing(
-    spark: SparkSession, paths: str | Sequence[str], part: str = ".pdf"
+def list_files(
+    spark: SparkSession, folder: str, suffix: str = ".pdf", modified_after: str | None = None
 ) -> DataFrame:
-    """Paths of the files below ``paths`` with ``part`` anywhere in the path."""
-    return keep_substring(scan_files(spark, paths, "").select("path"), part)
+    """Paths of the files below ``folder`` whose name ends in ``suffix``, hidden names included."""
+    listed = list_tree(spark, folder, suffix)
+    if modified_after:
+        listed = listed.where(F.col("modificationTime") > F.lit(modified_after).cast("timestamp"))
+    return listed.select("path")
 
 
-def split_by_size(files: DataFrame, limit: int = MAX_CONTENT) -> tuple[DataFrame, DataFrame]:
-    """Files whose content fits one value, and the others as rows with an error but no content.
+def list_files_containing(spark: SparkSession, folder: str, part: str = ".pdf") -> DataFrame:
+    """Paths of the files below ``folder`` with ``part`` anywhere in the path, hidden names included."""
+    return keep_substring(list_tree(spark, folder).select("path"), part)
 
-    The comparison is pushed into the scan, so a file over the limit is never opened.
-    """
-    fits = files.filter(F.col("length") <= limit)
-    over = (
-        files.filter(F.col("length") > limit)
-        .select("path", "modificationTime", "length")
-        .withColumn("error", F.lit("file too large"))
-    )
-    return fits, over
+
+def new_files(listed: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of a listing whose version of the file is not among ``known``. Names alone move."""
+    same: list[Column] = [listed[c].eqNullSafe(known[c]) for c in IDENTITY]
+    return listed.join(known.select(*IDENTITY), same, "left_anti")
 
 
-def hidden_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
-    """Files below ``folder`` that Spark's file sources leave out: ``path, modificationTime, length``.
+def with_contents(
+    spark: SparkSession,
+    listed: DataFrame,
+    folder: str,
+    limit: int = MAX_CONTENT,
+    connect: Connect = connect_arrow,
+) -> DataFrame:
+    """``listed`` and ``content, error``: the bytes of each file, read by the task that holds its row.
 
-    These are the files with a name, or in a folder with a name, that begins with ``_`` or ``.``.
-    The file system lists the tree on the driver, as the file sources do.
+    ``listed`` holds paths below ``folder`` and their ``length``. The rows are spread over the tasks
+    first, while they are names; whatever is joined or filtered afterwards would move contents. A
+    file of more than ``limit`` bytes is not opened; it and one that cannot be read, or is gone, have
+    an error in place of the content, so no file is lost and none fails the run.
     """
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    top = fs.makeQualified(root).toString().rstrip("/")
-    found, listing = [], fs.listFiles(root, True)
-    while listing.hasNext():
-        status = listing.next()
-        path = status.getPath().toString()
-        parts = path[len(top) + 1 :].split("/")
-        if path.endswith(suffix) and any(p.startswith(("_", ".")) for p in parts):
-            found.append((path, status.getModificationTime(), status.getLen()))
-    rows = spark.createDataFrame(found, "path string, millis long, length long")
-    return rows.select("path", F.timestamp_millis("millis").alias("modificationTime"), "length")
+    ship_package(spark)
+    root, reached = located(spark, folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = connect(reached)
+
+        def read(path: str, length: int) -> tuple[bytes | None, str | None]:
+            if length is not None and length > limit:
+                return None, "file too large"
+            try:
+                with store.open_input_stream(base + path[len(root) :]) as source:
+                    content = source.read(limit + 1)
+            except Exception as problem:  # whatever the store raises
+                return None, f"{type(problem).__name__}: {problem}"
+            return (content, None) if len(content) <= limit else (None, "file too large")
+
+        for batch in batches:
+            paths, lengths = (batch.column(c).to_pylist() for c in ("path", "length"))
+            start, held, size = 0, [], 0
+            for at, (path, length) in enumerate(zip(paths, lengths)):
+                if held and size + (length or 0) > BATCH_BYTES:
+                    yield _with(batch.slice(start, at - start), held)
+                    start, held, size = at, [], 0
+                held.append(read(path, length))
+                size += len(held[-1][0] or b"")
+            if held:
+                yield _with(batch.slice(start), held)
+
+    fields = [*listed.schema.fields, BINARY_SCHEMA["content"], T.StructField("error", T.StringType())]
+    return listed.repartition(tasks, "path").mapInArrow(run, T.StructType(fields))
+
+
+def _with(batch: pa.RecordBatch, read: list[tuple]) -> pa.RecordBatch:
+    contents, errors = zip(*read)
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, pa.array(contents, pa.binary()), pa.array(errors, pa.string())],
+        [*batch.schema.names, "content", "error"],
+    )
 
 
 def read_files(
     spark: SparkSession, folder: str, suffix: str = ".pdf", limit: int = MAX_CONTENT
 ) -> DataFrame:
-    """Every file below ``folder``: the columns of ``scan_files`` and ``error``.
-
-    A file of more than ``limit`` bytes and one with a hidden name has no content but an error, so no
-    file is lost and none fails the run.
-    """
-    fits, over = split_by_size(scan_files(spark, folder, suffix), limit)
-    empty = F.lit(None).cast("binary")
-    hidden = hidden_files(spark, folder, suffix).withColumn("error", F.lit("hidden name"))
-    return (
-        fits.withColumn("error", F.lit(None).cast("string"))
-        .unionByName(over.withColumn("content", empty))
-        .unionByName(hidden.withColumn("content", empty))
-    )
+    """Every file below ``folder`` whose name ends in ``suffix``: its row, ``content`` and ``error``."""
+    return with_contents(spark, list_tree(spark, folder, suffix), folder, limit)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLE_FORMAT = "parquet"
+#: Property that names the load a replaced table holds.
+LOAD = "leafmill.load"
 # Error conditions of a missing table and a missing column.
 MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_COLUMN")
 
@@ -15,12 +19,62 @@ MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_COLUMN")
 def write_overwrite(
     df: DataFrame, table: str, path: str | None = None, table_format: str = TABLE_FORMAT
 ) -> DataFrame:
-    """Replace ``table`` and its schema by ``df``; external if ``path`` is given. Returns it."""
+    """Replace ``table`` and its schema by ``df``; external if ``path`` is given. Returns it.
+
+    The table is marked with the load it holds, so that a stream over it can tell a new load from
+    appended rows, see :func:`leafmill.streaming.flows.process_table`.
+    """
     writer = df.write.format(table_format).mode("overwrite").option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    set_property(spark, table, LOAD, uuid.uuid4().hex)
+    return spark.table(table)
+
+
+def append(
+    df: DataFrame,
+    table: str,
+    path: str | None = None,
+    table_format: str = TABLE_FORMAT,
+    partition_by: str | None = None,
+) -> DataFrame:
+    """Add the rows of ``df`` to ``table``, which is made if it is missing. Returns it.
+
+    Columns that the table lacks are added to it, columns that ``df`` lacks are NULL in its rows.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        add_columns(spark, table, df.schema)
+        fields = spark.table(table).schema.fields
+        df = df.select(
+            *(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in fields)
+        )
+    writer = df.write.format(table_format).mode("append")
+    if path:
+        writer = writer.option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
+    return spark.table(table)
+
+
+def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Add the columns of ``schema`` that ``table`` lacks; its rows so far have NULL there."""
+    known = set(spark.table(table).columns)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+
+
+def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def get_property(spark: SparkSession, table: str, key: str) -> str | None:
+    return dict(spark.sql(f"SHOW TBLPROPERTIES {table}").collect()).get(key)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

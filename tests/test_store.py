@@ -1,4 +1,4 @@
-"""Upserts, the item store and the streams."""
+"""Upserts, the keyed table, files and the streams."""
 
 import random
 import shutil
@@ -7,8 +7,9 @@ import pytest
 
 from leafmill.operators import filters, quarantine, upsert, vectors
 from leafmill.plans import flow, ingest, parallel, workdir
-from leafmill.sources import files, tables
-from leafmill.sources.store import ItemStore
+from leafmill.plans.settings import settings
+from leafmill.sources import files, keyed, tables
+from leafmill.sources.keyed import KeyedTable
 from leafmill.streaming import flows
 
 SCHEMA = "id string, a string, f map<string,string>"
@@ -93,20 +94,19 @@ def test_merge_statement_parses(spark):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return ItemStore(spark, f"file://{tmp_path}/store", SCHEMA, maps=["f"])
+    return KeyedTable(spark, f"file://{tmp_path}/store", SCHEMA, maps=["f"], parts=5)
 
 
-def test_store_life(spark, store):
+def test_table_life(spark, store):
     assert store.state().count() == 0
     rng, expected = random.Random(7), {}
     for n in range(4):
         batch = _batch(rng, 20, n * 100)
-        store.upsert(_frames(spark, batch), "seq", token=f"t{n}")
-        expected = _apply(expected, batch)
-        assert _state(store.state()) == expected
-        store.upsert(_frames(spark, batch), "seq", token=f"t{n}")
-        if n == 1:
-            store.compact()
+        for _ in range(2):  # again: nothing changes
+            store.upsert(_frames(spark, batch), "seq")
+            expected = _apply(expected, batch)
+            assert _state(store.state()) == expected and store.state().count() == len(expected)
+    store.upsert(_frames(spark, []), "seq")
     assert _state(store.state()) == expected
     assert store.delete_all() == len(expected)
     assert store.state().count() == 0
@@ -114,7 +114,7 @@ def test_store_life(spark, store):
     assert _state(store.state()) == {"new": ("x", None)}
 
 
-def test_store_load_replaces(spark, store):
+def test_table_load_replaces(spark, store):
     store.upsert(_frames(spark, [("a", 1, "x", None)]), "seq")
     store.load(spark.createDataFrame([("b", "y", {"k": "v"})], SCHEMA))
     assert _state(store.state()) == {"b": ("y", {"k": "v"})}
@@ -122,20 +122,65 @@ def test_store_load_replaces(spark, store):
     assert _state(store.state()) == {"b": ("z", {"k": "v", "m": None})}
 
 
-def test_store_partial_items_and_lost_writes(spark, store, tmp_path):
+def test_partial_items_and_unknown_columns(spark, store):
     store.upsert(_frames(spark, [("a", 1, "x", {"k": "1"})]), "seq")
     only_fields = spark.createDataFrame([("a", 1, {"m": "2"})], "id string, seq int, f map<string,string>")
-    store.upsert(only_fields, "seq", token="lost")
-    assert _state(store.state()) == {"a": ("x", {"k": "1", "m": "2"})}
-    written = [p for p in (tmp_path / "store" / "change").iterdir() if p.name.endswith("-lost")]
-    (written[0] / "_SUCCESS").unlink()
-    assert _state(store.state()) == {"a": ("x", {"k": "1"})}
-    store.upsert(only_fields, "seq", token="lost")
+    store.upsert(only_fields, "seq")
     assert _state(store.state()) == {"a": ("x", {"k": "1", "m": "2"})}
     with pytest.raises(ValueError):
         store.upsert(spark.createDataFrame([("a", 1, "?")], "id string, seq int, other string"), "seq")
 
 
+def _files(tmp_path):
+    return {p.parent.name: p for p in (tmp_path / "store" / "parts-5").glob("*/*.parquet")}
+
+
+def test_upsert_reads_and_writes_touched_partitions_only(spark, store, tmp_path):
+    store.load(spark.createDataFrame([(str(k), "x", None) for k in range(200)], SCHEMA))
+    before = _files(tmp_path)
+    assert set(before) == {f"_part={k}" for k in range(5)}
+    store.upsert(_frames(spark, [("7", 1, "y", None), ("7", 2, "z", None)]), "seq")
+    after = _files(tmp_path)
+    changed = {k for k in before if before[k] != after[k]}
+    assert len(changed) == 1
+    assert _state(store.state())["7"] == ("z", None) and store.state().count() == 200
+    latest = upsert.collapse_keyed(
+        _frames(spark, [("7", 3, "w", None)]), store._key(), ["id"], "seq", ["f"]
+    )
+    touched = [int(changed.pop().split("=")[1])]
+    with settings(spark, {**keyed._BY_PART, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = store.merged(latest, "seq", touched)._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull(_part" in plan and f"(_part#" in plan
+    # What is stored moves once, and so does the collapsed batch.
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    assert "ENSURE_REQUIREMENTS" not in plan.split("FullOuter")[1].split("REPARTITION_BY_NUM")[0]
+
+
+def test_number_of_parts_stays(spark, store, tmp_path):
+    store.load(spark.createDataFrame([("a", "x", None)], SCHEMA))
+    with pytest.raises(ValueError, match="parts"):
+        KeyedTable(spark, f"file://{tmp_path}/store", SCHEMA, parts=6)
+
+
+def test_hot_partition_and_types(spark, tmp_path):
+    table = KeyedTable(spark, f"file://{tmp_path}/store", "id int, n string", parts=1)
+    table.upsert(spark.createDataFrame([(1, 5, 1)], "id int, n int, seq int"), "seq")
+    table.upsert(spark.createDataFrame([("2", "x", 2)], "id string, n string, seq bigint"), "seq")
+    table.upsert(spark.createDataFrame([(1, "y", "3")], "id bigint, n string, seq string"), "seq")
+    assert {tuple(r) for r in table.state().collect()} == {(1, "y"), (2, "x")}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        table.upsert(spark.createDataFrame([("one", "y", 1)], "id string, n string, seq int"), "seq")
+    assert table.state().count() == 2
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with settings(spark, {"spark.sql.shuffle.partitions": "77", "leafmill.own": "1"}):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "77"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("leafmill.own", None) is None
+
+
 def test_items_without_summary_are_set_aside(spark, store):
     items = _frames(spark, [("a", 1, "x", {"summary": "s"}), ("b", 2, "y", {"t": "u"})])
     ok, failed = quarantine.split_ok_failed(quarantine.require_map_keys(items, "f", ["summary"]))
@@ -145,7 +190,7 @@ def test_items_without_summary_are_set_aside(spark, store):
 
 
 def test_store_summaries(spark, tmp_path):
-    summaries = ItemStore(spark, f"file://{tmp_path}/s", "id string, summary string")
+    summaries = KeyedTable(spark, f"file://{tmp_path}/s", "id string, summary string")
     docs = spark.createDataFrame([(1, "A b. A c."), (2, None)], "n int, t string")
     flow.store_summaries(docs, summaries, "t", ["n"], "n")
     assert sorted(r["summary"] for r in summaries.state().collect()) == ["", "A b"]
@@ -158,24 +203,50 @@ def _write(folder, **contents):
         target.write_bytes(data)
 
 
+def _names(frame):
+    return sorted(r["path"].rsplit("/", 1)[1] for r in frame.collect())
+
+
 def test_files(spark, tmp_path):
     _write(tmp_path / "in", a__pdf=b"one", b__txt=b"two", c__PDF=b"three")
     _write(tmp_path / "in" / "deep" / "er", d__pdf=b"four", e__pdf__bak=b"five")
+    _write(tmp_path / "in" / "_arch", w__pdf=b"six")
+    (tmp_path / "in" / "deep" / "none").mkdir()
+    (tmp_path / "in" / ".z a%20é.pdf").write_bytes(b"seven")
     root = f"file://{tmp_path}/in"
-
-    def names(frame):
-        return sorted(r["path"].rsplit("/", 1)[1] for r in frame.collect())
-
-    assert names(files.list_files(spark, root)) == ["a.pdf", "d.pdf"]
-    assert names(files.list_files_containing(spark, root)) == ["a.pdf", "d.pdf", "e.pdf.bak"]
-    scanned = files.scan_files(spark, root)
-    assert scanned.schema == files.BINARY_SCHEMA
-    assert sorted(bytes(r["content"]) for r in scanned.collect()) == [b"four", b"one"]
-    assert names(files.list_files(spark, root, modified_after="2020-01-01T00:00:00")) == ["a.pdf", "d.pdf"]
-    assert names(files.list_files(spark, root, modified_after="2199-01-01T00:00:00")) == []
-    fits, over = files.split_by_size(scanned, 3)
-    assert names(fits) == ["a.pdf"]
-    assert [(r["length"], r["error"]) for r in over.collect()] == [(4, "file too large")]
+    assert _names(files.list_files(spark, root)) == [".z a%20é.pdf", "a.pdf", "d.pdf", "w.pdf"]
+    assert _names(files.list_files_containing(spark, root, "/deep/")) == ["d.pdf", "e.pdf.bak"]
+    read = files.read_files(spark, root)
+    assert read.schema.fields[:4] == files.BINARY_SCHEMA.fields
+    contents = {r["path"].rsplit("/", 1)[1]: bytes(r["content"]) for r in read.collect()}
+    assert contents == {".z a%20é.pdf": b"seven", "a.pdf": b"one", "d.pdf": b"four", "w.pdf": b"six"}
+    assert _names(files.list_files(spark, root, modified_after="2199-01-01T00:00:00")) == []
+    assert len(_names(files.list_files(spark, root, modified_after="2020-01-01T00:00:00"))) == 4
+    # The same rows as Spark's own source gives for names that it shows.
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    listed = {tuple(r) for r in files.list_tree(spark, root).collect()}
+    assert {tuple(r) for r in own.drop("content").collect()} < listed
+    with pytest.raises(Exception, match="[Nn]o such file|does not exist"):
+        files.list_tree(spark, root + "/nothing")
+
+
+def test_tree_is_listed_in_rounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ENTRIES", 3)  # bound into the task with its module's values
+    for k in range(6):
+        for j in range(4):
+            _write(tmp_path / "in" / f"a{k}" / f"b{j}" / "c", x__pdf=b"1")
+    assert files.list_files(spark, f"file://{tmp_path}/in").count() == 24
+
+
+def test_contents_are_read_above_every_exchange(spark, tmp_path):
+    _write(tmp_path / "in", a__pdf=b"one")
+    root = f"file://{tmp_path}/in"
+    known = files.list_tree(spark, root).where("false")
+    fresh = files.new_files(files.list_tree(spark, root), known)
+    plan = files.with_contents(spark, fresh, root)._jdf.queryExecution().executedPlan().toString()
+    top, below = plan.split("MapInArrow", 1)
+    assert "Exchange" not in top and "Exchange" in below
+    assert "content" not in below.split("Exchange", 1)[1]
 
 
 def test_ingest_replaces_table_and_schema(spark, tmp_path):
@@ -186,6 +257,7 @@ def test_ingest_replaces_table_and_schema(spark, tmp_path):
         spark, f"file://{tmp_path}/in", name, f"file://{tmp_path}/raw", replace=True
     )
     assert table.columns == [*files.BINARY_SCHEMA.names, "error", "timestamp", "year_month"]
+    assert bytes(table.first()["content"]) == b"one"
     row = table.first()
     assert row["year_month"] == row["timestamp"].strftime("%Y-%m")
     assert tables.query(spark, "select * from {t}", t=name).count() == 1
@@ -202,18 +274,97 @@ def test_missing_table_or_field_is_empty(spark):
 
 def test_stream_of_new_files(spark, tmp_path):
     source, table = tmp_path / "in", workdir.fresh_table("files")
-    _write(source, a__pdf=b"one", b__pdf=b"two", c__txt=b"no")
+    _write(source, a__pdf=b"one", _b__pdf=b"two", c__txt=b"no", big__pdf=b"12345678")
 
     def run():
-        stream = flows.stream_new_files(spark, f"file://{source}").select("path", "length")
-        return flows.run_to_table(
+        stream = flows.stream_new_files(
+            spark, f"file://{source}", f"file://{tmp_path}/arrivals", limit=7
+        )
+        rows = flows.run_to_table(
             stream, table, f"file://{tmp_path}/cp", path=f"file://{tmp_path}/out"
+        ).collect()
+        return {r["path"].rsplit("/", 1)[1]: r["content"] and bytes(r["content"]) or r["error"] for r in rows}
+
+    want = {"a.pdf": b"one", "_b.pdf": b"two", "big.pdf": "file too large"}
+    assert run() == want
+    _write(source / "_deep", d__pdf=b"three")
+    assert run() == want | {"d.pdf": b"three"}
+    assert run() == want | {"d.pdf": b"three"}
+    assert spark.table(table).count() == 4
+
+
+def test_stream_over_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = flows.stream_new_files(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/arrivals")
+    name = workdir.fresh_table("files")
+    assert flows.run_to_table(stream, name, f"file://{tmp_path}/cp").count() == 0
+
+
+def test_overwritten_table_is_not_doubled(spark, tmp_path):
+    raw, bronze = workdir.fresh_table("raw"), workdir.fresh_table("bronze")
+    rows = spark.createDataFrame([(k, "2024-01") for k in range(5)], "n int, year_month string")
+
+    def run(**options):
+        return flows.process_table(
+            spark, raw, bronze, f"file://{tmp_path}/cp", path=f"file://{tmp_path}/bronze", **options
         ).count()
 
-    assert run() == 2
-    _write(source, d__pdf=b"three")
-    assert run() == 3
-    assert run() == 3
+    tables.write_overwrite(rows, raw, f"file://{tmp_path}/raw")
+    assert run() == 5 and run() == 5
+    tables.append(rows.where("n = 0"), raw)
+    assert run() == 6
+    tables.write_overwrite(rows, raw, f"file://{tmp_path}/raw")
+    with pytest.raises(ValueError, match="double"):
+        run()
+    assert run(identity=["n"]) == 6
+    more = rows.unionByName(spark.createDataFrame([(9, "2024-02")], rows.schema))
+    tables.write_overwrite(more, raw, f"file://{tmp_path}/raw")
+    assert run(identity=["n"]) == 7 and run(identity=["n"]) == 7
+
+
+def test_tables_and_copies_gain_columns(spark, tmp_path):
+    raw, bronze = workdir.fresh_table("raw"), workdir.fresh_table("bronze")
+
+    def run():
+        table = flows.process_table(
+            spark, raw, bronze, f"file://{tmp_path}/cp", path=f"file://{tmp_path}/bronze"
+        )
+        return {tuple(r[c] for c in ("n", "x", "year_month")[: 1 + len(table.columns) - 1]) for r in table.collect()} if "x" in table.columns else table.count()
+
+    tables.append(spark.createDataFrame([(1, "2024-01")], "n int, year_month string"), raw, f"file://{tmp_path}/raw")
+    assert run() == 1
+    tables.append(spark.createDataFrame([(2, "2024-02", 0.5)], "n int, year_month string, x double"), raw)
+    assert run() == {(1, None, "2024-01"), (2, 0.5, "2024-02")}
+
+
+def test_folder_stream_takes_new_columns(spark, tmp_path):
+    source, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+
+    def run(checkpoint="cp"):
+        table = flows.process_folder(spark, source, target, f"file://{tmp_path}/{checkpoint}")
+        return sorted((r.asDict() for r in table.collect()), key=lambda r: r["n"])
+
+    def add(rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    add([(1, "2024-01")], "n int, year_month string")
+    assert run() == [{"n": 1, "year_month": "2024-01"}]
+    add([(2, "2024-01", "two")], "n int, year_month string, x string")
+    add([(3, "2024-02", 3.0)], "n int, year_month string, y double")
+    empty = {"x": None, "y": None}
+    want = [
+        empty | {"n": 1, "year_month": "2024-01"},
+        empty | {"n": 2, "year_month": "2024-01", "x": "two"},
+        empty | {"n": 3, "year_month": "2024-02", "y": 3.0},
+    ]
+    assert run() == want and run() == want
+    # A batch that runs again takes the place of what it wrote.
+    shutil.rmtree(tmp_path / "cp" / "commits")
+    assert run() == want
+    add([("4", "2024-02")], "n string, year_month string")
+    with pytest.raises(Exception, match="column n is int and string"):
+        run()
+    assert flows.merge_schemas([]).fields == []
 
 
 def test_stream_table_to_partitioned_table(spark, tmp_path):
@@ -239,7 +390,7 @@ def test_stream_table_to_partitioned_table(spark, tmp_path):
 
 def test_stream_upsert_survives_a_repeated_batch(spark, tmp_path):
     source = tmp_path / "in"
-    store = ItemStore(spark, f"file://{tmp_path}/store", "id int, a string")
+    store = KeyedTable(spark, f"file://{tmp_path}/store", "id int, a string", parts=4)
 
     def add(rows):
         frame = spark.createDataFrame(rows, "id int, a string, seq int").coalesce(1)
@@ -247,7 +398,7 @@ def test_stream_upsert_survives_a_repeated_batch(spark, tmp_path):
 
     def run(checkpoint="cp"):
         stream = flows.stream_parquet(spark, f"file://{source}", "id int, a string, seq int")
-        flows.upsert_stream(stream, store, "seq", f"file://{tmp_path}/{checkpoint}", "s")
+        flows.upsert_stream(stream, store, "seq", f"file://{tmp_path}/{checkpoint}")
         return {r["id"]: r["a"] for r in store.state().collect()}
 
     add([(n, "x", 1) for n in range(10)])
@@ -258,6 +409,8 @@ def test_stream_upsert_survives_a_repeated_batch(spark, tmp_path):
     assert run() == expected
     shutil.rmtree(tmp_path / "cp" / "commits")
     assert run() == expected
+    assert store.delete_all() == 15
+    assert run("cp2") == expected
 
 
 def test_new_files_become_items(spark, tmp_path):
@@ -274,19 +427,22 @@ def test_new_files_become_items(spark, tmp_path):
         return call
 
     source = tmp_path / "in"
-    store = ItemStore(spark, f"file://{tmp_path}/store", flow.ITEM_SCHEMA, maps=["Metadata"])
+    store = KeyedTable(
+        spark, f"file://{tmp_path}/store", flow.ITEM_SCHEMA, maps=["Metadata"], parts=4
+    )
 
     def run():
         flows.summarize_new_files(
-            spark, f"file://{source}", extractor, store, f"file://{tmp_path}/cp", "files",
-            tries=1, pause=0.0,
+            spark, f"file://{source}", extractor, store, f"file://{tmp_path}/cp",
+            limit=50, tries=1, pause=0.0,
         )
         return {r["Metadata"]["title"]: r for r in store.state().collect()}
 
     folder = source / "journal" / "law" / "doe"
-    _write(folder, one__pdf="Été one".encode(), two__pdf=b"broken", three__txt=b"no")
+    _write(folder, one__pdf="Été one".encode(), two__pdf=b"broken", three__txt=b"no", huge__pdf=b"x" * 51)
     items = run()
-    assert set(items) == {"one", "two"}
+    assert set(items) == {"one", "two", "huge"}
+    assert items["huge"]["error"] == "file too large" and items["huge"]["summary"] == ""
     assert items["one"]["text"] == "t  one\nLast page."
     assert items["one"]["summary"] == "t  one"
     assert items["one"]["Metadata"] == {
@@ -294,7 +450,7 @@ def test_new_files_become_items(spark, tmp_path):
     }
     assert items["two"]["summary"] == "" and items["two"]["error"] == "ValueError: not a document"
     _write(folder, four__pdf=b"Four.")
-    assert set(run()) == {"one", "two", "four"}
+    assert set(run()) == {"one", "two", "huge", "four"}
     done = filters.unprocessed(
         files.list_files(spark, f"file://{source}"), store.state(), "path", "Filepath"
     )
@@ -331,64 +487,13 @@ def test_second_ingest_adds_nothing(spark, tmp_path):
     assert run() == (3, 3)
 
 
-def test_replaced_table_is_not_streamed(spark, tmp_path):
-    _write(tmp_path / "in", a__pdf=b"one")
-    raw = workdir.fresh_table("raw")
-    ingest.ingest_files(spark, f"file://{tmp_path}/in", raw, f"file://{tmp_path}/raw", replace=True)
-    with pytest.raises(ValueError, match="replaced"):
-        flows.process_table(spark, raw, workdir.fresh_table("bronze"), f"file://{tmp_path}/cp")
-
-
 def test_no_file_is_lost(spark, tmp_path):
     _write(tmp_path / "in", x__pdf=b"one", _y__pdf=b"two", big__pdf=b"12345678")
-    _write(tmp_path / "in" / "_arch", w__pdf=b"four")
-    (tmp_path / "in" / ".z.pdf").write_bytes(b"five")
     root = f"file://{tmp_path}/in"
-    rows = {r["path"].rsplit("/", 1)[1]: r for r in files.read_files(spark, root, limit=7).collect()}
-    assert {n: r["error"] for n, r in rows.items()} == {
-        "x.pdf": None,
-        "big.pdf": "file too large",
-        "_y.pdf": "hidden name",
-        ".z.pdf": "hidden name",
-        "w.pdf": "hidden name",
-    }
-    assert {n: r["length"] for n, r in rows.items()}["w.pdf"] == 4
-    listed = {p.rsplit("/", 1)[1] for (p,) in files.list_all_files(spark, root).collect()}
-    assert listed == set(rows)
-
-
-def test_fresh_checkpoint_after_delete_loads_all(spark, tmp_path):
-    rows = spark.createDataFrame([(k, f"t{k}", 1) for k in range(5)], "id int, text string, seq int")
-    rows.write.parquet(f"file://{tmp_path}/in")
-    store = ItemStore(spark, f"file://{tmp_path}/store", "id int, text string")
-
-    def load(checkpoint):
-        stream = flows.stream_parquet(spark, f"file://{tmp_path}/in", rows.schema)
-        flows.upsert_stream(stream, store, "seq", f"file://{tmp_path}/{checkpoint}", "one name")
-        return store.state().count()
-
-    assert load("cp1") == 5
-    store.compact()
-    assert load("cp1") == 5
-    assert store.delete_all() == 5
-    assert load("cp2") == 5
-
-
-def test_store_casts_to_its_types(spark, tmp_path):
-    store = ItemStore(spark, f"file://{tmp_path}/store", "id int, n string")
-    store.upsert(spark.createDataFrame([(1, 5, 1)], "id int, n int, seq int"), "seq")
-    store.upsert(spark.createDataFrame([("2", "x", 2)], "id string, n string, seq bigint"), "seq")
-    store.upsert(spark.createDataFrame([(1, "y", "3")], "id bigint, n string, seq string"), "seq")
-    assert {tuple(r) for r in store.state().collect()} == {(1, "y"), (2, "x")}
-
-
-def test_token_is_forgotten_when_the_store_is_emptied(spark, tmp_path):
-    store = ItemStore(spark, f"file://{tmp_path}/store", "id int")
-    batch = spark.createDataFrame([(1, 1)], "id int, seq int")
-    store.upsert(batch, "seq", token="a")
-    store.compact()
-    store.upsert(batch, "seq", token="a")
-    assert len(store._folders("change")) == 1
-    store.delete_all()
-    store.upsert(batch, "seq", token="a")
-    assert store.state().count() == 1
+    listed = files.list_tree(spark, root, ".pdf")
+    (tmp_path / "in" / "x.pdf").unlink()
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in files.with_contents(spark, listed, root, 7).collect()}
+    assert set(rows) == {"x.pdf", "_y.pdf", "big.pdf"}
+    assert rows["x.pdf"]["error"].startswith("FileNotFoundError") and rows["x.pdf"]["content"] is None
+    assert rows["big.pdf"]["error"] == "file too large" and rows["big.pdf"]["length"] == 8
+    assert bytes(rows["_y.pdf"]["content"]) == b"two" and rows["_y.pdf"]["error"] is None
