@@ -314,7 +314,7 @@ def assemble_pages(spark, sf):
 
 
 def assemble_pages_fallback(spark, sf):
-    """With limits that make documents take the second text and the way by blocks of pages."""
+    """With a limit that makes many documents take the second text."""
     second = _table(spark, sf, "pages").select(F.col("page_id").alias("conv_id"), "html")
     return extraction.assemble_pages(
         _table(spark, sf, "conversations"),
@@ -324,11 +324,10 @@ def assemble_pages_fallback(spark, sf):
         second,
         "html",
         shortest=300,
-        block=4,
     )
 
 
-def _extractor_outputs(spark: SparkSession, sf: str) -> DataFrame:
+def _extractor_outputs(spark: SparkSession, sf: str, docs: DataFrame) -> DataFrame:
     """Per document: a first text for labelled ones, pages where a conversation has its number."""
     labels = _table(spark, sf, "labels")
     second = extraction.join_pages(
@@ -340,8 +339,7 @@ def _extractor_outputs(spark: SparkSession, sf: str) -> DataFrame:
         strict=True,
     ).select(F.col("conv_id").alias("doc_id"), F.col("text").alias("second"))
     return (
-        _documents(spark, sf)
-        .join(labels, "doc_id", "left")
+        docs.join(labels, "doc_id", "left")
         .join(second, "doc_id", "left")
         .withColumn("first", F.when(F.col("quality").isNotNull(), F.col("text")))
         .withColumn("unreadable", F.coalesce(F.col("toxic") == 1, F.lit(False)))
@@ -353,17 +351,19 @@ def _extracted() -> Column:
 
 
 def extract_fallback(spark, sf):
-    return _extractor_outputs(spark, sf).select("doc_id", _extracted().alias("text"))
+    outputs = _extractor_outputs(spark, sf, _documents(spark, sf))
+    return outputs.select("doc_id", _extracted().alias("text"))
 
 
 def extract_unprocessed(spark, sf):
     done = _documents(spark, sf).join(
         _table(spark, sf, "labels").filter("quality = 1"), "doc_id", "left_semi"
     )
-    # The narrow listing is reduced first; texts are joined for new files only.
+    # Names are compared first; texts of other documents than the new ones are not moved.
     listing = _documents(spark, sf).select("doc_id", "path")
     new = filters.unprocessed(filters.keep_suffix(listing, ".pdf"), done, "path", "path")
-    outputs = _extractor_outputs(spark, sf).drop("path").join(new, "doc_id")
+    docs = _table(spark, sf, "documents").join(new, "doc_id")
+    outputs = _extractor_outputs(spark, sf, docs)
     return outputs.select(F.col("path").alias("name"), _extracted().alias("text"))
 
 

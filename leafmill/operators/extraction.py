@@ -6,72 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.operators.filters import keep_suffix, unprocessed
-from leafmill.plans.workdir import written
 
 # Fixed values.
 SHORT_TEXT = 50
 FALLBACK_JOINER = "\n"
 
-# Pages joined in one step, and the most 8-byte document hashes to broadcast.
-PAGES_PER_BLOCK = 4096
-MAX_BROADCAST_IDS = 1_000_000
 
-
-def _in_order(
-    group: DataFrame, key: list[str], position: str, text: str, joiner: str, strict: bool
+def join_pages(
+    pages: DataFrame, doc: str, page: str, text: str, joiner: str = "", strict: bool = False
 ) -> DataFrame:
+    """Page texts in page order, joined by ``joiner``, as ``(doc, text)``.
+
+    A NULL page reads ``''``; with ``strict`` it makes the whole document NULL. Pages without a
+    document id are one document. Pages of one document that lie in one input task are put together
+    there and move as one row, so ``pages`` are read and moved once, whatever the documents' sizes.
+    """
     parts = F.array_sort(
         F.collect_list(
-            F.struct(F.col(position).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+            F.struct(F.col(page).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
         )
     )
     joined = F.array_join(F.transform(parts, lambda x: x["t"]), joiner)
     if strict:
         joined = F.when(~F.max(F.col(text).isNull()), joined)
-    return group.groupBy(*key).agg(joined.alias("text"))
-
-
-def _in_blocks(
-    pages: DataFrame, doc: str, page: str, text: str, joiner: str, strict: bool, block: int
-) -> DataFrame:
-    numbered = pages.withColumn("_block", F.floor(F.col(page) / block))
-    blocks = _in_order(numbered, [doc, "_block"], page, text, joiner, strict)
-    return _in_order(blocks, [doc], "_block", "text", joiner, strict)
-
-
-def join_pages(
-    pages: DataFrame,
-    doc: str,
-    page: str,
-    text: str,
-    joiner: str = "",
-    strict: bool = False,
-    block: int = PAGES_PER_BLOCK,
-    max_broadcast: int = MAX_BROADCAST_IDS,
-) -> DataFrame:
-    """Page texts in page order, joined by ``joiner``, as ``(doc, text)``.
-
-    A NULL page reads ``''``; with ``strict`` it makes the whole document NULL.
-
-    Documents with fewer than ``block`` pages take one shuffle. Longer ones are first joined in
-    blocks of pages spread over tasks, then the blocks are joined. Which documents are long is
-    found by a count over page numbers (a pruned scan with the comparison pushed down); the list is
-    broadcast only while it has at most ``max_broadcast`` entries of 8 bytes, beyond that every
-    document goes by blocks.
-    """
-    how = (page, text, joiner, strict)
-    number = F.xxhash64(doc)
-    long_ids = pages.filter(F.col(page) >= block).select(number.alias("_long")).distinct()
-    n_long = long_ids.limit(max_broadcast + 1).count()
-    if n_long == 0:
-        return _in_order(pages, [doc], *how)
-    if n_long > max_broadcast:
-        return _in_blocks(pages, doc, *how, block)
-    # Two documents with one hash both go by blocks, which gives the same text.
-    hit = number == F.col("_long")
-    short = pages.join(F.broadcast(long_ids), hit, "left_anti")
-    long = pages.join(F.broadcast(long_ids), hit, "left_semi")
-    return _in_order(short, [doc], *how).unionByName(_in_blocks(long, doc, *how, block))
+    return pages.groupBy(doc).agg(joined.alias("text"))
 
 
 def assemble_pages(
@@ -82,29 +40,19 @@ def assemble_pages(
     second: DataFrame,
     second_text: str,
     shortest: int = SHORT_TEXT,
-    block: int = PAGES_PER_BLOCK,
-    max_broadcast: int = MAX_BROADCAST_IDS,
 ) -> DataFrame:
     """``(doc, text)``: joined pages, or the second extractor's text where they are too short.
 
-    ``second`` holds at most one row per ``doc``; a short document without one gets NULL. Text
-    lengths alone tell which documents are short, so ``second`` is reduced to those before it is
-    joined, and a costly second extractor runs for them only. The list of short documents is
-    written to the shared folder and broadcast while it has at most ``max_broadcast`` entries.
+    ``second`` holds at most one row per ``doc``; a short document without one gets NULL. One plan
+    for documents of any size: the joined pages say which documents are short, ``second`` is reduced
+    to those (a costly second extractor runs for them only), and both go by the key that the
+    pages have been moved by. ``pages`` are read and moved once, ``second`` once, nothing is counted.
     """
-    spark = pages.sparkSession
     keyed = pages.select(F.struct(doc).alias("_key"), page, text)
-    size = F.sum(F.coalesce(F.length(text), F.lit(0)))
-    short = keyed.groupBy("_key").agg(size.alias("_n")).filter(F.col("_n") < shortest)
-    short_ids = written(spark, short.select(F.xxhash64("_key.*").alias("_short")), "short")
-    if short_ids.count() <= max_broadcast:
-        short_ids = F.broadcast(short_ids)
-    needed = second.join(short_ids, F.xxhash64(doc) == F.col("_short"), "left_semi").select(
-        F.struct(doc).alias("_key"), F.col(second_text).alias("_second")
-    )
-    joined = join_pages(
-        keyed, "_key", page, text, block=block, max_broadcast=max_broadcast
-    )
+    joined = join_pages(keyed, "_key", page, text)
+    short = joined.where(F.length("text") < shortest).select("_key")
+    needed = second.select(F.struct(doc).alias("_key"), F.col(second_text).alias("_second"))
+    needed = needed.join(short, "_key", "left_semi")
     return joined.join(needed, "_key", "left").select(
         F.col(f"_key.{doc}").alias(doc),
         F.when(F.length("text") < shortest, F.col("_second"))

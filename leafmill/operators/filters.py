@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.paths import has_substring, has_suffix
+from leafmill.plans.parallel import broadcast_fits
 
-SALTS = 8
+#: A name is hot if more than one row in so many holds it; names that the sketch tracks.
+HOT_SHARE, TRACKED = 64, 4096
 
 
 def filter_path(df: DataFrame, path: str, on: str = "path") -> DataFrame:
@@ -27,25 +29,43 @@ def keep_substring(df: DataFrame, part: str = ".pdf", on: str = "path") -> DataF
     return df.filter(has_substring(F.col(on), part))
 
 
+def frequent(df: DataFrame, on: str, share: int = HOT_SHARE) -> DataFrame:
+    """``hash`` of each value of ``on`` that more than one in ``share`` rows holds: ``share`` at most.
+
+    A sketch of frequent items of fixed size goes over the column ``on`` alone.
+    """
+    top = F.expr(f"approx_top_k(xxhash64(`{on}`), {share}, {TRACKED})")
+    counted = df.agg(top.alias("_top"), F.count("*").alias("_rows"))
+    items = counted.select("_rows", F.inline("_top").alias("hash", "_n"))
+    return items.where(F.col("_n") * share > F.col("_rows")).select("hash")
+
+
 def unprocessed(
-    listing: DataFrame, done: DataFrame, on: str, done_on: str | None = None, salts: int = SALTS
+    listing: DataFrame, done: DataFrame, on: str, done_on: str | None = None
 ) -> DataFrame:
     """Rows of ``listing`` whose name is not among ``done``. A NULL name equals a NULL name.
 
-    Where ``done`` is small Spark broadcasts it and the listing is not moved. Otherwise both sides
-    are shuffled by name and salt: ``done`` is reduced to distinct names first, and a name held by
-    a large part of the listing is spread over ``salts`` tasks. Adaptive execution may split those
-    further, but cannot be relied on alone: it goes by compressed size, and rows with one name
-    tend to be copies, which compress well.
+    ``done`` is made distinct before it moves. Where Spark will broadcast it the listing is not
+    moved. Else both sides are shuffled by name, and names that a large part of the listing holds
+    are found first by a sketch over the names (:func:`frequent`), at most ``HOT_SHARE`` of them. Which
+    of those are done is broadcast and settles their rows where they lie; those that are left go
+    through the join under a number of their own for each input task, so no task gets a hot name
+    and ``done`` is never multiplied.
     """
-    names = (
-        done.select(F.col(done_on or on).alias("_name"))
-        .distinct()
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    salted = listing.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    match = salted[on].eqNullSafe(names["_name"]) & (salted["_part"] == names["_salt"])
-    return salted.join(names, match, "left_anti").drop("_part")
+    names = done.select(F.col(done_on or on).alias("_name")).distinct()
+    if broadcast_fits(names):
+        return listing.join(names, listing[on].eqNullSafe(names["_name"]), "left_anti")
+    hot = F.broadcast(frequent(listing, on).withColumnRenamed("hash", "_hot"))
+    # As many names as there are hot ones, but for names with one hash.
+    settled = F.broadcast(names.join(hot, F.xxhash64("_name") == F.col("_hot"), "left_semi"))
+    open_rows = listing.join(settled, listing[on].eqNullSafe(settled["_name"]), "left_anti")
+    marked = open_rows.join(hot, F.xxhash64(on) == F.col("_hot"), "left")
+    spread = F.when(F.col("_hot").isNotNull(), F.spark_partition_id() + 1).otherwise(0)
+    salted = marked.withColumn("_salt", spread.cast("long")).drop("_hot")
+    # Zero, in a form that the optimiser does not take for a constant: then it would not be a key.
+    plain = names.withColumn("_zero", F.xxhash64("_name").bitwiseAND(F.lit(0).cast("long")))
+    match = salted[on].eqNullSafe(plain["_name"]) & (salted["_salt"] == plain["_zero"])
+    return salted.join(plain, match, "left_anti").drop("_salt")
 
 
 def dedup_exact(

@@ -1,4 +1,4 @@
-"""Degree of parallelism of scans."""
+"""What a plan can know before it runs: splits of scans, sizes of sides."""
 
 from __future__ import annotations
 
@@ -16,3 +16,11 @@ def spread(scan: DataFrame, *key: str) -> DataFrame:
     if scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores, *key)
+
+
+def broadcast_fits(df: DataFrame) -> bool:
+    """Whether Spark itself will broadcast ``df`` in a join, by its own estimate and threshold."""
+    session = df._jdf.sparkSession().sessionState()
+    limit = session.conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(str(size)) <= limit

@@ -132,7 +132,7 @@ def list_tree(
     ship_package(spark)
     context = spark.sparkContext
     root, reached = located(spark, folder)
-    folders, rounds = spark.createDataFrame([("",)], "folder string").coalesce(1), []
+    folders, rounds = spark.range(1).select(F.lit("").alias("folder")).coalesce(1), []
     while True:
         left = context.accumulator(0)
         rounds.append(fresh_dir(spark, "listing"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafmill.operators import bloom
+from leafmill.plans.parallel import broadcast_fits
+from leafmill.plans.workdir import written
+
 TABLE_FORMAT = "parquet"
 #: Property that names the load a replaced table holds.
 LOAD = "leafmill.load"
@@ -109,14 +113,24 @@ def lookup(
 ) -> DataFrame:
     """Point reads by name: ``(name, content, found, error)`` per distinct name in ``requests``.
 
-    ``store`` has one row per name. Requests are made distinct map-side, so a name asked for very
-    often costs one row. The store is reduced to the requested names first: a short request list is
-    broadcast, and contents that nobody asked for are never shuffled. Both joins go by name and
-    share one exchange per side.
+    ``store`` has one row per name. Requests are made distinct map-side and written to the shared
+    folder, so a name asked for very often costs one row and their number is known. The store is
+    reduced to the requested names on its scan, before anything moves: a list that Spark broadcasts is
+    looked up there; for a longer one a Bloom filter of its size is, which lets about one in a hundred
+    of the other contents through.
     """
-    wanted = requests.select(F.col(name).alias("name")).distinct()
-    named = store.select(F.col(store_name).alias("name"), F.col(content).alias("content"))
-    hits = named.join(wanted, "name", "left_semi").withColumn("_hit", F.lit(True))
+    spark, seen = requests.sparkSession, Observation()
+    names = requests.select(F.col(name).alias("name")).distinct()
+    wanted = written(spark, names.observe(seen, F.count("*").alias("n")), "wanted")
+    named = store.select(
+        F.col(store_name).alias("name"), F.col(content).alias("content"), F.lit(True).alias("_hit")
+    )
+    if broadcast_fits(wanted):
+        hits = named.join(wanted, "name", "left_semi")
+    else:
+        words = bloom.words_for(seen.get["n"])
+        asked = bloom.bloom_filter(wanted, F.col("name"), words)
+        hits = named.where(bloom.may_hold(asked, F.col("name"), words))
     return wanted.join(hits, "name", "left").select(
         "name",
         "content",

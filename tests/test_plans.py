@@ -1,11 +1,14 @@
 """Plan shapes: no needless exchange, no Python in default queries, filters and columns pushed."""
 
+import re
+
 import __spark_entry__ as catalogue
 import pytest
 from pyspark.sql import functions as F
 
 from leafmill.operators import extraction, filters, summaries, upsert
 from leafmill.plans import flow
+from leafmill.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonUDF")
@@ -95,6 +98,36 @@ def test_pages_are_exchanged_once(spark, no_broadcast):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_pages_are_read_once_for_both_extractors(spark, no_broadcast):
+    turns = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+    second = spark.read.parquet(f"{FOLDER}/pages.parquet").withColumnRenamed("page_id", "conv_id")
+    plan = _plan(extraction.assemble_pages(turns, "conv_id", "turn", "text", second, "html"))
+    moved = [x for x in plan.split("\n") if "- Exchange hashpartitioning(_key" in x]
+    assert len(moved) == 2 and plan.count("ReusedExchange") == 1
+    assert "REPARTITION" not in plan
+
+
+def test_requests_are_tested_below_the_exchange_of_contents(spark, no_broadcast):
+    store = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn(
+        "name", F.col("doc_id").cast("string")
+    )
+    asked = spark.read.parquet(f"{FOLDER}/labels.parquet").select(F.col("doc_id").cast("string").alias("w"))
+    plan = _plan(tables.lookup(asked, store, "w", "name", "text"))
+    above = plan.split("ReadSchema: struct<doc_id:bigint,text:string>")[0].split("\n")
+    nodes = [line for line in above if re.search(r"- (\*\(\d+\) )?(Exchange|Filter) ", line)]
+    assert "Filter" in nodes[-1] and "Subquery" in nodes[-1] and "Exchange" in nodes[-2]
+
+
+def test_new_documents_alone_move(spark, no_broadcast):
+    plan = _plan(catalogue.extract_unprocessed(spark, FOLDER))
+    above = plan.split("ReadSchema: struct<doc_id:bigint,text:string>")
+    # One scan of texts; they are moved by the document's number, for the join with the new ones,
+    # and stay there.
+    assert len(above) == 2
+    side = [x for x in above[0].split("\n") if "Join" in x or "Exchange" in x]
+    assert "hashpartitioning(doc_id" in side[-1] and "Inner" in side[-2]
+
+
 def test_model_runs_once(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
 

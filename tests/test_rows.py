@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill import models
-from leafmill.operators import extraction, filters, quarantine
+from leafmill.operators import bloom, extraction, filters, quarantine
+from leafmill.plans.settings import settings
 from leafmill.sources import tables
 
 NAMES = "name string"
@@ -85,11 +86,9 @@ def _joined(doc, n):
     return "".join(f"<{doc}.{p}>" for p in range(n))
 
 
-@pytest.mark.parametrize("block,limit", [(4096, 10), (8, 10), (8, 1), (1, 10)])
-def test_pages_join_in_order(spark, pages, block, limit):
-    got = extraction.join_pages(
-        pages, "doc", "page", "text", block=block, max_broadcast=limit
-    )
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_pages_join_in_order(spark, pages, tasks):
+    got = extraction.join_pages(pages.repartition(tasks), "doc", "page", "text")
     assert {r["doc"]: r["text"] for r in got.collect()} == {
         1: _joined(1, 3), 2: _joined(2, 60), 3: _joined(3, 9), None: _joined(None, 2), 4: "x",
     }
@@ -106,7 +105,7 @@ def test_short_document_takes_the_second_text(spark):
 
 
 def test_pages_of_the_second_extractor(spark, pages):
-    got = extraction.join_pages(pages, "doc", "page", "text", "\n", strict=True, block=8)
+    got = extraction.join_pages(pages, "doc", "page", "text", "\n", strict=True)
     texts = {r["doc"]: r["text"] for r in got.collect()}
     assert texts[2] == "\n".join(f"<2.{p}>" for p in range(60))
     assert texts[1] == "<1.0>\n<1.1>\n<1.2>" and texts[4] is None
@@ -139,7 +138,13 @@ def test_extract_unprocessed(spark):
     assert [tuple(r) for r in got.collect()] == [("b.pdf", "2")]
 
 
-def test_lookup(spark):
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_lookup(spark, broadcast):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": broadcast}):
+        check_lookup(spark)
+
+
+def check_lookup(spark):
     wanted = spark.createDataFrame([("a",), ("x",), (None,), ("a",)], "w string")
     store = spark.createDataFrame([("a", b"1"), ("b", b"2"), ("e", None)], "n string, c binary")
     got = tables.lookup(wanted, store, "w", "n", "c").collect()
@@ -153,6 +158,49 @@ def test_lookup(spark):
     )
 
 
+def test_bloom_filter_loses_no_member(spark):
+    members = spark.range(3000).select(F.concat(F.lit("name "), "id").alias("n"))
+    members = members.unionByName(spark.createDataFrame([(None,)], "n string"))
+    words = bloom.words_for(members.count())
+    held = bloom.bloom_filter(members, F.col("n"), words)
+    rows = spark.range(30_000).select(F.concat(F.lit("name "), "id").alias("n"))
+    passed = {r[0] for r in rows.where(bloom.may_hold(held, F.col("n"), words)).collect()}
+    assert passed >= {f"name {k}" for k in range(3000)} and len(passed) < 3000 + 27_000 * 0.05
+    assert members.where(bloom.may_hold(held, F.col("n"), words)).count() == 3001
+    none = bloom.bloom_filter(members.limit(0), F.col("n"), 16)
+    assert rows.where(bloom.may_hold(none, F.col("n"), 16)).count() == 0
+    assert bloom.words_for(0) == 16 and bloom.words_for(10**12) == bloom.MOST_WORDS
+
+
+def test_frequent_names(spark):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(
+            F.col("id").cast("string")
+        ).alias("n")
+    )
+    got = {r[0] for r in filters.frequent(rows, "n").collect()}
+    want = spark.createDataFrame([("hot",), (None,)], "n string").select(F.xxhash64("n"))
+    assert got == {r[0] for r in want.collect()}
+    assert filters.frequent(rows.limit(0), "n").count() == 0
+
+
+def test_hot_name_is_spread(spark):
+    """With neither side small enough to broadcast, no task of the join gets the hot name."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    rows = spark.range(0, 9000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("n")
+    )
+    done = spark.range(5, 9000, 2).select(F.col("id").cast("string").alias("f"))
+    with settings(spark, keys):
+        left = filters.unprocessed(rows, done, "n", "f")
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        sizes = left.groupBy(F.spark_partition_id()).count().collect()
+        want = 3000 + sum(1 for k in range(9000) if k % 3 and (k < 5 or k % 2 == 0))
+        assert left.count() == want
+    assert "Generate explode" not in plan  # the list of what is done is not multiplied
+    assert max(r["count"] for r in sizes) < want / 2
+
+
 def test_quarantine(spark):
     frame = spark.createDataFrame(
         [(1, "a", "b"), (2, None, "b"), (3, "a", None)], "n int, a string, b string"
