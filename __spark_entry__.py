@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions import chunking, embedding, paths, text
+from leafmill.functions import chunking, embedding, paths, sql, text
 from leafmill.operators import (
     chunks,
     extraction,
@@ -383,6 +383,21 @@ def chunk_wrap(spark, sf):
     )
 
 
+def sql_lateral_chunks(spark, sf):
+    """The chunker as a table function, in a statement a user would write."""
+    sql.register(spark)
+    sql.table_function(
+        spark,
+        "line_chunks",
+        lambda t: chunking.chunk_separator(t, "\n", LINE_SIZE, LINE_OVERLAP),
+    )
+    return spark.sql(
+        "SELECT d.doc_id, c.pos, c.chunk, token_count(c.chunk) AS tokens "
+        "FROM {documents} d, LATERAL line_chunks(d.text) c",
+        documents=_texts(spark, sf),
+    )
+
+
 def summary_map_reduce(spark, sf):
     return summaries.summary_map_reduce(_texts(spark, sf), ["doc_id"], "text")
 
@@ -559,6 +574,7 @@ _QUERIES: list[Query] = [
     chunk_separator,
     chunk_recursive,
     chunk_wrap,
+    sql_lateral_chunks,
     summary_map_reduce,
     summary_map_join,
     summary_wrap_join,
@@ -893,6 +909,9 @@ def oracle_sql() -> dict[str, str]:
                 AND d.doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""",
         "chunk_separator": f"""WITH RECURSIVE {_line_chunks_sql()}
             SELECT doc_id, pos, chunk FROM chunked""",
+        "sql_lateral_chunks": f"""WITH RECURSIVE {_line_chunks_sql()}
+            SELECT doc_id, pos, chunk, len(regexp_extract_all(chunk,
+                '[A-Za-z0-9]+|[^A-Za-z0-9\\s\\x0B]'))::INT AS tokens FROM chunked""",
         "chunk_recursive": f"""WITH RECURSIVE {_recursive_sql()}
             SELECT doc_id, pos, chunk FROM chunked""",
         "chunk_wrap": f"""WITH RECURSIVE {_wrap_sql()}

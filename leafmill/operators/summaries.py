@@ -20,6 +20,7 @@ from leafmill.functions.chunking import (
 from leafmill.functions.summary import SENTENCE_JOINER, extractive_summary
 from leafmill.models import Model, apply_model
 from leafmill.operators.chunks import join_chunks, spread_chunks
+from leafmill.plans.workdir import written
 
 # Fixed values.
 MAP_JOINER = " \n"
@@ -123,7 +124,6 @@ def map_reduce_with_model(
     model: Model,
     reduce_model: Model | None = None,
     longest: int = 4000,
-    levels: int = 3,
     joiner: str = MAP_JOINER,
     partitions: int | None = None,
     **retry: object,
@@ -132,30 +132,38 @@ def map_reduce_with_model(
 
     ``reduce_model`` (``model`` if none is given) makes one text of a document's joined summaries.
     Where these are longer than ``longest`` characters they are cut into chunks of that size and
-    mapped again first, ``levels`` times at most. Each level and the last step are one model stage.
-    A failed chunk contributes ``''``; ``error`` keeps a message. Documents without chunks give
-    ``''`` and reach no model.
+    mapped again first, as long as that makes them shorter. Each round is written to the shared folder
+    and works on the documents that are still too long, the others wait for the last step: if none is
+    too long there is no round. Texts are never part of a key. A failed chunk contributes ``''``;
+    ``error`` keeps a message, also for a text that a round did not shorten and that is reduced as it
+    is. Documents without chunks give ``''`` and reach no model.
     """
+    spark, last = df.sparkSession, reduce_model or model
     rows = df.select(F.struct(key).alias("_key"), F.posexplode_outer(chunks).alias("pos", "chunk"))
-    held = _mapped_by_model(rows, model, joiner, partitions, retry)
-    last = reduce_model or model
-    for _ in range(levels):
-        # Short texts pass a level as they are: a NULL chunk reaches no model.
-        long = F.length("summary") > longest
-        pieces = F.when(long, chunk_recursive(F.col("summary"), size=longest, overlap=0))
-        again = held.select(
-            F.struct("_key", F.when(~long, F.col("summary")).alias("done"), "error").alias("_key"),
-            F.posexplode_outer(pieces).alias("pos", "chunk"),
-        )
+    held = written(spark, _mapped_by_model(rows, model, joiner, partitions, retry), "mapped")
+    size = F.length("summary")
+    finished = held.where(size <= longest)
+    while not (long := held.where(size > longest)).isEmpty():
+        pieces = chunk_recursive(F.col("summary"), size=longest, overlap=0)
+        again = long.select("_key", F.posexplode(pieces).alias("pos", "chunk"))
+        before = long.select("_key", size.alias("_before"), F.col("error").alias("_earlier"))
         mapped = _mapped_by_model(again, last, joiner, partitions, retry)
-        held = mapped.select(
-            "_key._key",
-            F.coalesce("_key.done", "summary").alias("summary"),
-            F.coalesce("_key.error", "error").alias("error"),
+        step = written(spark, mapped.join(before, "_key"), "mapped")
+        shorter, message = size < F.col("_before"), F.coalesce("_earlier", "error")
+        stuck = (size > longest) & ~shorter
+        held = step.select(
+            "_key",
+            "summary",
+            F.when(stuck, F.coalesce(message, F.lit("too long, and not shortened")))
+            .otherwise(message)
+            .alias("error"),
+            stuck.alias("_stuck"),
         )
+        finished = finished.unionByName(held.where((size <= longest) | F.col("_stuck")).drop("_stuck"))
+        held = held.where(~F.col("_stuck")).drop("_stuck")
     text = F.when(F.col("summary") != "", F.col("summary"))
     reduced = apply_model(
-        held.select("_key", text.alias("text"), F.col("error").alias("earlier")),
+        finished.select("_key", text.alias("text"), F.col("error").alias("earlier")),
         "text",
         "string",
         last,

@@ -6,7 +6,7 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.functions import chunking
+from leafmill.functions import chunking, sql, summary, text
 
 
 def _texts(alphabet, count, longest, seed):
@@ -168,3 +168,30 @@ def test_many_chunks_in_one_text(spark):
     assert got == [_by_levels(text, chunking.RECURSIVE_SEPARATORS, 12, 4)]
     odd = text + "\xa0"
     assert _run(spark, [odd], lambda t: chunking.chunk_wrap(t, 12)) == [_FillLines(12).wrap(odd)]
+
+
+def test_sql_functions_equal_the_expressions(spark):
+    rows = [
+        "a b\n\nc", "it's (x) +(y) =(z) 'quoted' and(b) \\\\ é", "", None, "w " * 3000 + "x" * 9000,
+        "One. Two two. Three three three!",
+    ]
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(rows)], "n int, text string")
+    sql.register(spark)
+    for name, chunks in (
+        ("chunk_separator", chunking.chunk_separator),
+        ("chunk_recursive", chunking.chunk_recursive),
+        ("chunk_wrap", chunking.chunk_wrap),
+    ):
+        got = spark.sql(
+            f"SELECT d.n, c.pos, c.chunk FROM {{docs}} d, LATERAL {name}(d.text) c", docs=frame
+        )
+        want = frame.select("n", F.posexplode(chunks(F.col("text"))).alias("pos", "chunk"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Generate posexplode" in plan and "Join" not in plan and "Exchange" not in plan
+    got = spark.sql(
+        "SELECT n, clean_text(text), token_count(text), extractive_summary(text) FROM {docs}", docs=frame
+    )
+    t = F.col("text")
+    want = frame.select("n", text.clean_text(t), text.token_count(t), summary.extractive_summary(t))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -160,7 +160,7 @@ def test_chunks_join_back_in_order(spark):
 
 
 def test_map_reduce_with_model(spark):
-    """Against a plain loop: chunks, joined outputs, levels while too long, one reduce."""
+    """Against a plain loop: chunks, joined outputs, rounds while too long, one reduce."""
 
     def short():
         return lambda items: [" ".join(x.split()[::2]) for x in items]
@@ -171,20 +171,46 @@ def test_map_reduce_with_model(spark):
     texts = [(1, " ".join(f"w{n}" for n in range(300))), (None, "a b c d"), (3, None), (4, "")]
     frame = spark.createDataFrame(texts, "doc int, t string")
     pieces = chunking.chunk_separator(F.col("t"), " ", 60, 0)
-    got = summaries.map_reduce_with_model(frame, "doc", pieces, short, last, longest=300, levels=2)
+    got = summaries.map_reduce_with_model(frame, "doc", pieces, short, last, longest=300)
+    assert _plan(got).count("MapInArrow") == 1 and "Exchange" not in _plan(got)
     rows = {r["doc"]: (r["summary"], r["error"]) for r in got.collect()}
     assert set(rows) == {1, None, 3, 4}
     assert rows[None] == ("A C", None) and rows[3] == ("", None) and rows[4] == ("", None)
     listed = frame.select("doc", pieces.alias("c")).where("doc = 1").first()["c"]
     joined = " \n".join(" ".join(x.split()[::2]) for x in listed)
-    for _ in range(2):
-        if len(joined) > 300:
-            one = spark.createDataFrame([(joined,)], "t string")
-            cut = one.select(chunking.chunk_recursive(F.col("t"), size=300, overlap=0)).first()[0]
-            joined = " \n".join(x.upper()[:200] for x in cut)
+    rounds = 0
+    while len(joined) > 300:
+        one = spark.createDataFrame([(joined,)], "t string")
+        cut = one.select(chunking.chunk_recursive(F.col("t"), size=300, overlap=0)).first()[0]
+        joined, rounds = " \n".join(x.upper()[:200] for x in cut), rounds + 1
+    assert rounds > 1
     assert rows[1] == (joined.upper()[:200], None)
 
 
+def test_rounds_end_where_texts_do_not_get_shorter(spark):
+    def same():
+        return lambda items: items
+
+    def once():
+        return lambda items: [x[:50] if len(x) < 100 else x for x in items]
+
+    frame = spark.createDataFrame([(1, "ab " * 300), (2, "ab"), (3, "xy " * 90)], "doc int, t string")
+    got = summaries.map_reduce_with_model(frame, "doc", F.array("t"), same, once, longest=100)
+    rows = {r["doc"]: (r["summary"], r["error"]) for r in got.collect()}
+    assert rows[2] == ("ab", None)
+    assert rows[1][1] is None or rows[1][1] == "too long, and not shortened"
+    stays = summaries.map_reduce_with_model(frame, "doc", F.array("t"), same, same, longest=100)
+    rows = {r["doc"]: (r["summary"], r["error"]) for r in stays.collect()}
+    assert rows[1][1] == rows[3][1] == "too long, and not shortened" and rows[2] == ("ab", None)
+    assert rows[1][0].split() == ["ab"] * 300
+    none = summaries.map_reduce_with_model(frame.limit(0), "doc", F.array("t"), same)
+    assert none.count() == 0
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_null_key_keeps_its_summary(spark):
     def upper():
         return lambda items: [x.upper() for x in items]
