@@ -49,6 +49,14 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def id_type(df: DataFrame, id_col: str) -> str:
     return df.schema[id_col].dataType.simpleString()
 

@@ -12,7 +12,9 @@ Exact, in these steps:
    intersecting sorted arrays, and the links give components.
 4. Sets that share a key but are in different components meet in tiles: one key, one band of
    sizes, at most ``TILE`` sets by ``TILE``. Bitmaps in which each member flips a bit bound the
-   overlap from above; the pairs that pass are checked exactly, and their links are added.
+   overlap from above. Pairs of a small tile that pass are checked exactly afterwards. A tile of
+   ``LARGE`` sets or more holds the arrays too: the pairs that pass are checked in it, and it hands
+   on the links that join two of its components, fewer than it has sets, and nothing else.
 
 Pairs inside one component are not compared again: they cannot change it. Hot keys are harmless in
 3 (minima are combined before they move, the join may split a key) and cut into tiles in 4.
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import id_text, id_type, map_rows, small_batches, tidy
+from leafmill.llm.common import free_name, id_text, id_type, map_rows, small_batches, tidy
 from leafmill.llm.graph import components
 from leafmill.plans.workdir import written
 
@@ -37,6 +39,8 @@ WORDS = 5
 LEAST, WHOLE = 4, 5
 TILE = 1024
 BAND = 1.25
+#: Sets of a tile that checks its pairs itself, and the bytes of arrays a part of one may hold.
+LARGE, TILE_BYTES = 256, 32 << 20
 #: Most frequent shingles that the order puts last, and the share of the texts they come from.
 HOT_KEYS = 1 << 16
 HOT_SHARE, HOT_LEAST = 64, 8
@@ -247,24 +251,29 @@ def allows(total, apart):
     return (total - apart) * (LEAST + WHOLE) >= 2 * LEAST * total
 
 
-def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of different components at one key whose bitmaps allow the similarity.
+def _tiles(rows: DataFrame, bitmaps: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of small tiles and links of large ones, both ``a, b`` of different components.
 
     ``rows`` holds ``key, node, size, component``. A set is at home in its band of sizes and a guest in
     the one below; each tile pairs its home sets with each other and with guests. A tile with many
-    sets is cut: a part of the home sets meets a part of all sets.
+    sets is cut: a part of the home sets meets a part of all sets. The pairs are those whose bitmaps
+    allow the similarity; the links have been checked, and with them the tile's components are those
+    that all its links would give.
     """
     home = rows.withColumn("band", band_of(F.col("size"))).withColumn("home", F.lit(True))
     guest = home.withColumn("band", F.col("band") - 1).withColumn("home", F.lit(False))
     placed = home.unionByName(guest)
     counts = placed.groupBy("key", "band").agg(
         F.count(F.lit(1)).alias("held"),
+        F.sum(F.col("size").cast("long") * 8).alias("bytes"),
         F.sum(F.col("home").cast("int")).alias("homes"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
+    large = F.col("held") >= LARGE
+    parts = F.greatest(F.ceil(F.col("held") / TILE), F.when(large, F.ceil(F.col("bytes") / TILE_BYTES)))
     counts = counts.where("low <> high AND homes > 0").select(
-        "key", "band", F.ceil(F.col("held") / TILE).cast("int").alias("parts")
+        "key", "band", parts.cast("int").alias("parts"), large.alias("large")
     )
     placed = placed.join(counts, ["key", "band"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -280,7 +289,7 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     every = F.sequence(none, F.col("parts") - 1)
     first = cut.where("home").select("*", F.explode(every).alias("column"), F.lit(MEETS).alias("role"))
     second = cut.select("*", F.explode(every).alias("row"), F.lit(IS_MET).alias("role"))
-    columns = ["key", "band", "row", "column", "role", "node", "size", "component"]
+    columns = ["key", "band", "row", "column", "role", "node", "size", "component", "large"]
     sided = (
         whole.select(*columns)
         .unionByName(first.withColumn("row", F.col("part")).select(*columns))
@@ -289,14 +298,23 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     sided = sided.join(bitmaps.select("node", "bitmap"), "node")
 
     dealt = ["key", "band", "row", "column"]
-    # Tiles are many and mostly tiny, so they stream by in order; none is a call of its own.
-    ordered = sided.select(*dealt, "role", "node", "size", "component", "bitmap")
-    ordered = ordered.repartition(*dealt).sortWithinPartitions(*dealt)
-    return map_rows(ordered, _tile_pairs, "a long, b long").distinct()
 
+    def streamed(tiles: DataFrame, work, *also: str) -> DataFrame:
+        # Tiles are many and mostly tiny, so they stream by in order; none is a call of its own.
+        ordered = tiles.select(*dealt, "role", "node", "size", "component", "bitmap", *also)
+        ordered = ordered.repartition(*dealt).sortWithinPartitions(*dealt)
+        return map_rows(ordered, lambda batches: _in_order(batches, work), "a long, b long").distinct()
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the tiles that come by in order."""
+    pairs = streamed(sided.where("NOT large"), _pairs_between)
+    huge = placed.where("large")
+    if huge.isEmpty():
+        return pairs, pairs.limit(0)
+    arrays = _arrays(texts, wanted_filter(huge.select("node"), "node"))
+    return pairs, streamed(sided.where("large").join(arrays, "node"), _links_between, "members")
+
+
+def _in_order(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """``work`` on the tiles that come by in order, given as a table and the starts of its tiles."""
     open_tile = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -309,9 +327,60 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = [0, *(np.flatnonzero(change) + 1).tolist()]
         open_tile = table.slice(starts[-1])
         if len(starts) > 1:
-            yield _pairs_between(table.slice(0, starts[-1]), starts)
+            yield work(table.slice(0, starts[-1]), starts)
     if open_tile is not None and open_tile.num_rows > 1:
-        yield _pairs_between(open_tile, [0, open_tile.num_rows])
+        yield work(open_tile, [0, open_tile.num_rows])
+
+
+def _overlaps(arrays: list[bytes]) -> np.ndarray:
+    """A row of bits for each set, one for every member that two sets or more have."""
+    sets = [np.frombuffer(a, np.int64) for a in arrays]
+    flat = np.concatenate(sets)
+    _, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = counts > 1
+    number = np.cumsum(shared) - 1
+    kept = shared[place]
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[kept]
+    columns = number[place[kept]]
+    bits = np.zeros((len(sets), int(shared.sum()) // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (rows, columns >> 6), np.uint64(1) << (columns & 63).astype(np.uint64))
+    return bits
+
+
+def _links_between(table: pa.Table, starts: list[int]) -> pa.RecordBatch:
+    """Links of the tiles, each of which joins two components that the links before it left apart."""
+    role = table.column("role").to_numpy()
+    nodes = table.column("node").to_numpy()
+    sizes = table.column("size").to_numpy().astype(np.int64)
+    parts = table.column("component").to_numpy().copy()
+    found = []
+    for start, end in zip(starts, starts[1:]):
+        tile = table.slice(start, end - start)
+        maps = tile.column("bitmap").to_pylist()
+        width = 8 * min(map(len, maps))
+        words = np.array([folded(m, width) for m in maps])
+        members = None
+        others = start + np.flatnonzero(role[start:end] != MEETS)
+        for i in (start + np.flatnonzero(role[start:end] != IS_MET)).tolist():
+            size = sizes[others]
+            fit = parts[others] != parts[i]
+            fit &= (WHOLE * size >= LEAST * sizes[i]) & (WHOLE * sizes[i] >= LEAST * size)
+            near = others[fit]
+            apart = np.bitwise_count(words[near - start] ^ words[i - start]).sum(axis=1)
+            near = near[allows(sizes[near] + sizes[i], apart.astype(np.int64))]
+            if not len(near):
+                continue
+            if members is None:
+                members = _overlaps(tile.column("members").to_pylist())
+            both = np.bitwise_count(members[near - start] & members[i - start]).sum(axis=1)
+            both = both.astype(np.int64)
+            for other in near[WHOLE * both >= LEAST * (sizes[near] + sizes[i] - both)].tolist():
+                if parts[other] != parts[i]:
+                    found.append((min(nodes[i], nodes[other]), max(nodes[i], nodes[other])))
+                    here = parts[start:end]
+                    here[here == parts[other]] = parts[i]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def _pairs_between(table: pa.Table, starts: list[int]) -> pa.RecordBatch:
@@ -345,8 +414,8 @@ def _pairs_between(table: pa.Table, starts: list[int]) -> pa.RecordBatch:
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``id, row, n_shingles, node`` of all rows (``row``: hash of the text), and ``node, component,
-    n_links`` of the nodes that have a link."""
+    """``id, row, n_shingles, node`` of all rows (``row``: hash of the text), and ``node, component`` of
+    the nodes that have a link."""
     spark, kind = df.sparkSession, id_type(df, id_col)
     tidy(spark)
     texts = id_text(df, id_col, text_col).withColumn("row", F.xxhash64("text"))
@@ -405,29 +474,19 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .select("key")
     )
     placed = written(spark, placed.join(open_keys, "key"), "jaccard")
-    more = written(spark, _tiles(placed, bitmaps), "jaccard")
-    more = more.join(star, ["a", "b"], "left_anti")
-    links = links.union(_checked(written(spark, more, "jaccard"), texts))
-    links = written(spark, links, "jaccard")
-    found = components(links)
-
-    degree = (
-        links.select(F.col("a").alias("node"))
-        .union(links.select("b"))
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("n_links"))
-    )
-    return docs.drop("bitmap"), found.join(degree, "node", "left")
+    pairs, joined = _tiles(placed, bitmaps, texts)
+    more = written(spark, pairs.join(star, ["a", "b"], "left_anti"), "jaccard")
+    links = links.union(_checked(more, texts)).union(joined)
+    return docs.drop("bitmap"), components(written(spark, links, "jaccard"))
 
 
 def join_components(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``id, n_shingles, component_id, n_links`` per row.
+    """``id, n_shingles, component_id`` per row.
 
     ``component_id`` is the smallest id among the rows that can be reached by links, the row's own
-    included; ``n_links`` counts the links checked between the row's class and other classes (not
-    all that there are: pairs known to be connected are not compared). A NULL, empty or blank text
+    included. (Links are not counted: pairs known to be connected are not compared.) A NULL, empty or blank text
     has an empty set and is linked with nothing: its component is its own id. Rows of equal sets are
     linked. Repeated rows and ids are kept; a row with a NULL id gets the smallest id of the others
     of its component, or NULL. Two different shingles or sets with one 64-bit hash count as equal.
@@ -440,12 +499,11 @@ def join_components(
         .withColumn("component", F.coalesce("component", "node"))
     )
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(lowest, "component").select("node", "component_id", "n_links")
+    named = named.join(lowest, "component").select("node", "component_id")
     return docs.join(named, "node", "left").select(
         "id",
         "n_shingles",
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
@@ -464,16 +522,9 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .agg(F.min(order).alias("kept"))
     )
     kept = chosen.select(F.col("kept.id").alias("leafmill_id"), F.col("kept.row").alias("leafmill_row"))
-    marked = df.withColumn("leafmill_of", F.xxhash64(F.col(text_col).cast("string")))
+    of = free_name(df, "leafmill_of")
+    marked = df.withColumn(of, F.xxhash64(F.col(text_col).cast("string")))
     blank = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    with_words = (
-        marked.where(~blank)
-        .join(
-            kept,
-            F.col(id_col).eqNullSafe(F.col("leafmill_id"))
-            & (F.col("leafmill_of") == F.col("leafmill_row")),
-            "left_semi",
-        )
-        .dropDuplicates([id_col, "leafmill_of"])
-    )
-    return with_words.unionByName(marked.where(blank)).drop("leafmill_of")
+    same = marked[id_col].eqNullSafe(kept["leafmill_id"]) & (marked[of] == kept["leafmill_row"])
+    with_words = marked.where(~blank).join(kept, same, "left_semi").dropDuplicates([id_col, of])
+    return with_words.unionByName(marked.where(blank)).drop(of)
