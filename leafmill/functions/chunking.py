@@ -337,22 +337,97 @@ def _wrap_ranges(pieces: Column, lengths: Column, width: int) -> Column:
     )
 
 
+def _blank(text: Column) -> Column:
+    return strip(text) == ""
+
+
+def _rooms(pieces: Column, width: int) -> Column:
+    """For each piece longer than a line the characters that the line it starts on has left, else -1.
+
+    The same greedy fold as :func:`_wrap_ranges` without its ranges. The state says how full the line
+    is, how many pieces stand in it, whether its last one is blank, and whether a line was closed.
+    """
+
+    def line(out, total, held, last_blank, closed) -> Column:
+        return F.struct(
+            out.alias("out"),
+            total.cast("int").alias("total"),
+            held.cast("int").alias("held"),
+            last_blank.alias("last_blank"),
+            closed.alias("closed"),
+        )
+
+    def step(state: Column, piece: Column) -> Column:
+        n, blank = F.length(piece), _blank(piece)
+        grown = state["total"] + n
+
+        def noted(room: Column) -> Column:
+            return _push(state["out"], _range(room, room))
+
+        def long_word(room: Column) -> Column:
+            # The last part of the word starts a line, or is dropped there if it is white space; of a
+            # white-space run the last part is all that does not fit.
+            last = F.when(blank, n - room).otherwise((n - room - 1) % width + 1)
+            front, end = F.substring(piece, F.lit(1), n - last), F.substring(piece, n - last + 1, last)
+            closed = state["closed"] | (state["held"] > 0) | ~_blank(front)
+            dropped = closed & _blank(end)
+            return line(
+                noted(room),
+                F.when(dropped, 0).otherwise(last),
+                F.when(dropped, 0).otherwise(1),
+                _blank(end) & ~dropped,
+                closed,
+            )
+
+        def next_line(closed: Column) -> Column:
+            dropped = closed & blank
+            return line(
+                noted(F.lit(-1)),
+                F.when(dropped, 0).otherwise(n),
+                F.when(dropped, 0).otherwise(1),
+                blank & ~dropped,
+                closed,
+            )
+
+        kept = state["held"] - F.when(state["last_blank"], 1).otherwise(0)
+        return (
+            F.when(n > width, long_word(F.greatest(F.lit(width) - state["total"], F.lit(0))))
+            .when(
+                grown <= width,
+                line(noted(F.lit(-1)), grown, state["held"] + 1, blank, state["closed"]),
+            )
+            .otherwise(next_line(state["closed"] | (kept > 0)))
+        )
+
+    start = line(_no_ranges(), F.lit(0), F.lit(0), F.lit(False), F.lit(False))
+    rooms = F.aggregate(pieces, start, step, lambda state: _all_ranges(state["out"]))
+    return F.transform(rooms, lambda r: r["a"])
+
+
 def _wrap_by_pieces(flat: Column, width: int) -> Column:
     """Fold over the pieces: handles every text."""
 
     def cut_long(pieces: Column) -> Column:
         def too_long(x: Column) -> Column:
-            return (F.length(x) > width) & (strip(x) != "")
-
-        # The empty piece in front is what a full line receives of the word: it, and not the
-        # white space before it, is then the blank piece dropped at the line break.
-        def characters(x: Column) -> Column:
-            return F.array_prepend(_non_empty(F.split(x, "", -1)), F.lit(""))
+            return F.length(x) > width
+
+        def parts(x: Column, room: Column) -> Column:
+            """What fills the line, then lines. A full line receives an empty part: it, and not the
+            white space before it, is then the blank piece dropped at the line break."""
+            rest = F.substring(x, room + 1, F.length(x))
+            lines = F.regexp_extract_all(rest, F.lit(rf"(?s).{{1,{width}}}"), F.lit(0))
+            after = F.when(_blank(x), F.array(rest)).otherwise(lines)
+            return F.array_prepend(after, F.substring(x, F.lit(1), room))
+
+        def cut(rooms: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    pieces,
+                    lambda x, i: F.when(too_long(x), parts(x, F.get(rooms, i))).otherwise(F.array(x)),
+                )
+            )
 
-        cut = F.flatten(
-            F.transform(pieces, lambda x: F.when(too_long(x), characters(x)).otherwise(F.array(x)))
-        )
-        return F.when(F.exists(pieces, too_long), cut).otherwise(pieces)
+        return F.when(F.exists(pieces, too_long), let(_rooms(pieces, width), cut)).otherwise(pieces)
 
     def wrap(pieces: Column) -> Column:
         ranges = let(

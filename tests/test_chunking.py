@@ -195,3 +195,33 @@ def test_sql_functions_equal_the_expressions(spark):
     t = F.col("text")
     want = frame.select("n", text.clean_text(t), text.token_count(t), summary.extractive_summary(t))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_long_words_are_cut_by_arithmetic(spark):
+    """A word of a million characters fills the line it starts on; as one array element, not a million."""
+    word = "é" * 1_000_003
+    frame = spark.createDataFrame([("x y " + word + " z",)], "t string")
+    got = frame.select(chunking.chunk_wrap(F.col("t"), 6000)).first()[0]
+    first = word[: 6000 - 4]
+    rest = [word[k : k + 6000] for k in range(len(first), len(word), 6000)]
+    assert got == ["x y " + first, *rest[:-1], rest[-1] + " z"]
+
+
+def test_long_runs_of_odd_white_space(spark):
+    rng = random.Random(3)
+
+    class Plain(textwrap.TextWrapper):
+        """Long words are cut where the line ends, also before a hyphen."""
+
+        def _handle_long_word(self, reversed_chunks, cur_line, cur_len, width):
+            left = width - cur_len
+            cur_line.append(reversed_chunks[-1][:left])
+            reversed_chunks[-1] = reversed_chunks[-1][left:]
+
+    texts = [
+        "".join(rng.choice("ab - \u00e9\u00a0\t.") if rng.random() < 0.5 else rng.choice("abcde") for _ in range(80))
+        for _ in range(150)
+    ]
+    for width in (3, 7, 20):
+        got = _run(spark, texts, lambda t: chunking.chunk_wrap(t, width))
+        assert got == [Plain(width=width).wrap(t) for t in texts]
