@@ -23,8 +23,8 @@ from leafmill.llm.common import id_type, map_rows, small_batches
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 FULL_TURNS, SET_TURNS = 12, 6
-#: Size bound of the shared model: buckets x languages x 4 bytes.
-MAX_LANGUAGES = 256
+#: Sizes of language sets that are tried in any case; larger ones while they still gain.
+FIRST_SIZES = 4
 _letters: list[np.ndarray] = []
 
 
@@ -89,11 +89,12 @@ def count(
 
 
 def fit(df: DataFrame, **columns: str) -> tuple[list[str], np.ndarray]:
-    """Language names in order, and log probabilities (buckets x languages) from all rows of ``df``."""
+    """Language names in order, and log probabilities (buckets x languages) from all rows of ``df``.
+
+    Any number of languages; the model takes 256 KB for each.
+    """
     table = count(df, **columns).toArrow()  # at most buckets x languages rows
     langs = sorted(set(table.column("lang").to_pylist()))
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the model holds {MAX_LANGUAGES} at most")
     counts = np.zeros((BUCKETS, len(langs)))
     place = {lang: i for i, lang in enumerate(langs)}
     column = np.array([place[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
@@ -115,10 +116,11 @@ def _expect(likely: np.ndarray, start: np.ndarray, heads: np.ndarray, sizes: np.
     return share, np.add.reduceat(np.log(joint), heads)
 
 
-def mixtures(texts: list[str], model: np.ndarray, most: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def mixtures(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Proportions per text (texts x languages), zero outside its language set; rows with no word NaN.
 
-    ``most`` bounds how many languages a set may hold. The second array says how many words there are.
+    Languages join a set in the order of their first proportions; sets grow until no text's penalised
+    likelihood rises any more. The second array says how many words there are.
     """
     count_langs = model.shape[1]
     shares = np.full((len(texts), count_langs), np.nan)
@@ -140,7 +142,7 @@ def mixtures(texts: list[str], model: np.ndarray, most: int = 4) -> tuple[np.nda
     best_share = np.zeros_like(share)
     penalty = 0.5 * np.log(np.maximum(counts, 2))
     # A second language must explain more than one stray word.
-    for size in range(1, min(most, count_langs) + 1):
+    for size in range(1, count_langs + 1):
         allowed = np.zeros_like(share)
         np.put_along_axis(allowed, ranked[:, :size], 1.0, axis=1)
         start = share * allowed + 1e-12 * allowed
@@ -151,6 +153,8 @@ def mixtures(texts: list[str], model: np.ndarray, most: int = 4) -> tuple[np.nda
         better = value > best_value
         best_value = np.where(better, value, best_value)
         best_share[better] = tried[better]
+        if size >= FIRST_SIZES and not better.any():
+            break
     shares[held] = best_share
     return shares, sizes
 

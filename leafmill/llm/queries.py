@@ -218,4 +218,46 @@ _NEGATIVES = """WITH
     WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
     QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10"""
 
-ORACLE_SQL: dict[str, str] = {"op12_spelling": _SPELLING, "op13_negatives": _NEGATIVES}
+_JACCARD = f"""WITH RECURSIVE
+    texts AS (SELECT doc_id, regexp_extract_all({_LOW.format(x="coalesce(text, '')")},
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
+    sized AS (SELECT doc_id, len(s)::BIGINT AS n, s FROM sets),
+    flat AS (SELECT doc_id, n, hash(x) AS x FROM (SELECT doc_id, n, unnest(s) AS x FROM sized) q),
+    links AS (SELECT a.doc_id AS a, b.doc_id AS b
+        FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+        HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+    reached(doc_id, other) AS (SELECT doc_id, doc_id FROM sized
+        UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+    SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id
+    FROM sized s JOIN reached r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s.n"""
+
+_SUFFIXES = """WITH
+    bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM bytes),
+    strings AS (SELECT doc_id, i, hash(substr(h, 2 * i - 1, 100)) AS x
+        FROM (SELECT doc_id, h, unnest(range(1, n - 48)) AS i FROM sized) q),
+    firsts AS (SELECT x, min(doc_id) AS first FROM strings GROUP BY x HAVING count(*) > 1),
+    hits AS (SELECT s.doc_id, s.i FROM strings s JOIN firsts f ON s.x = f.x WHERE f.first < s.doc_id),
+    marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER by_doc + 50, true)::INT AS fresh FROM hits
+        WINDOW by_doc AS (PARTITION BY doc_id ORDER BY i)),
+    numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+    spans AS (SELECT doc_id, min(i) AS s, max(i) + 49 AS e FROM numbered GROUP BY doc_id, run),
+    listed AS (SELECT doc_id, sum(e - s + 1)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans,
+        list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es FROM spans GROUP BY doc_id)
+    SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+        coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN ss IS NULL THEN h ELSE
+            array_to_string(list_transform(range(1, len(ss) + 2), lambda k:
+                substr(h, (2 * coalesce(es[k - 1], 0) + 1)::BIGINT,
+                    (2 * (coalesce(ss[k], n + 1) - coalesce(es[k - 1], 0) - 1))::BIGINT)), '')
+            END)) AS kept_sha256
+    FROM sized d LEFT JOIN listed l ON d.doc_id = l.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard": _JACCARD,
+    "op8_suffixes": _SUFFIXES,
+    "op12_spelling": _SPELLING,
+    "op13_negatives": _NEGATIVES,
+}

@@ -27,9 +27,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ACCESS_CHARS, HEX_CHARS, VALUE_CHARS = 16, 32, 8
 KINDS = ("assign", "access", "hex", "model")
-#: Tokens that the models see, and those long enough to be judged.
+#: Tokens that the models see and judge.
 SEEN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
-JUDGED_CHARS = 16
 #: Weight of a character's overall frequency against the counts of its context.
 RARE = 200.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -127,15 +126,22 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.nda
     return np.log(random) - np.log(plain)
 
 
-def ratio(token: str, model: np.ndarray) -> float:
-    """Log-likelihood ratio of a token: positive if it looks random."""
-    codes = CODE[np.frombuffer(("\0" + token).encode("latin-1", "replace"), dtype=np.uint8)]
-    return float(model[codes[:-1], codes[1:]].sum())
+def ratios(tokens: list[str], model: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each token: positive if it looks random."""
+    raw = np.frombuffer(("\0" + "\0".join(tokens)).encode("latin-1", "replace"), dtype=np.uint8)
+    codes = CODE[raw]
+    steps = np.where(codes[1:] > 0, model[codes[:-1], codes[1:]], 0.0)
+    # A token's steps begin at the mark before it; the step onto the next mark counts nothing.
+    starts = np.cumsum([0, *(len(t) + 1 for t in tokens[:-1])])
+    return np.add.reduceat(steps, starts)
 
 
 def model_spans(tokens: list[tuple[int, str]], model: np.ndarray, evidence: float) -> list[Span]:
-    long = [(a, t) for a, t in tokens if len(t) >= JUDGED_CHARS]
-    return [(a, a + len(t), 3) for a, t in long if ratio(t, model) > evidence]
+    """Every token whose ratio exceeds the evidence, whatever its length."""
+    if not tokens:
+        return []
+    found = np.flatnonzero(ratios([t for _, t in tokens], model) > evidence)
+    return [(tokens[i][0], tokens[i][0] + len(tokens[i][1]), 3) for i in found.tolist()]
 
 
 def find(
