@@ -47,6 +47,8 @@ HOT_SHARE, HOT_LEAST = 64, 8
 #: Bits of the table that tells texts whose arrays are wanted from most others.
 WANTED_BITS = 1 << 24
 MOST_BITS = 4096
+#: Sets that a task remembers as written.
+SEEN = 200_000
 #: What a row of a tile does.
 IS_MET, MEETS, MEETS_ALL = 0, 1, 2
 MIX = np.array(
@@ -116,41 +118,38 @@ def band_of(size: Column) -> Column:
     return F.floor(F.log(BAND, size)).cast("int")
 
 
-def _once_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Node and members of the texts, each node once in a task."""
-    seen: set[int] = set()
-    for batch in small_batches(batches):
-        found = []
-        for text in batch.column(1).to_pylist():
-            members = shingle_set(text)
-            if len(members) and (node := node_of(members)) not in seen:
-                seen.add(node)
-                found.append((node, members))
-        if found:
-            yield found
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Node and members of the rows ``node, members``."""
+    for batch in batches:
+        members = batch.column(1).to_pylist()
+        if members:
+            yield [
+                (node, np.frombuffer(held, np.int64))
+                for node, held in zip(batch.column(0).to_pylist(), members)
+            ]
 
 
-def _frequent(texts: DataFrame) -> np.ndarray:
-    """Shingles found often in a share of the texts, sorted; at most ``HOT_KEYS``."""
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """Shingles found often in a share of the sets, sorted; at most ``HOT_KEYS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _once_per_task(batches):
+        for found in _sets(batches):
             keys = np.concatenate([m for _, m in found])
             yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
-    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(HOT_SHARE)) == 0)
+    part = sets.where(F.pmod("node", F.lit(HOT_SHARE)) == 0)
     counted = map_rows(part, run, "key long").groupBy("key").count()
     kept = counted.where(F.col("count") >= HOT_LEAST).orderBy(F.desc("count"), "key")
     return np.array(sorted(r["key"] for r in kept.limit(HOT_KEYS).collect()), dtype=np.int64)
 
 
-def _prefix_rows(texts: DataFrame, hot: np.ndarray) -> DataFrame:
+def _prefix_rows(sets: DataFrame, hot: np.ndarray) -> DataFrame:
     """``key, node, size``: a row for each member of a set's prefix."""
-    shared = texts.sparkSession.sparkContext.broadcast(hot)
+    shared = sets.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
-        for found in _once_per_task(batches):
+        for found in _sets(batches):
             keys = [prefix(members, frequent) for _, members in found]
             counts = [len(k) for k in keys]
             nodes = np.repeat(np.array([n for n, _ in found], dtype=np.int64), counts)
@@ -160,7 +159,7 @@ def _prefix_rows(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 ["key", "node", "size"],
             )
 
-    return map_rows(texts, run, "key long, node long, size int")
+    return map_rows(sets, run, "key long, node long, size int")
 
 
 def wanted_filter(nodes: DataFrame, column: str, size: int = WANTED_BITS) -> np.ndarray:
@@ -177,33 +176,25 @@ def wanted_filter(nodes: DataFrame, column: str, size: int = WANTED_BITS) -> np.
     return table
 
 
-def _arrays(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """``node, members`` of the texts whose node may be wanted, once for a node."""
-    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+def _arrays(sets: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``node, members`` of the sets whose node may be wanted, once for a node."""
+    shared = sets.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for found in _once_per_task(batches):
-            kept = []
-            for node, members in found:
-                bit = node % WANTED_BITS
-                if int(table[bit // 64]) >> (bit % 64) & 1:
-                    kept.append((node, members.tobytes()))
-            if kept:
-                nodes, members = zip(*kept)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(members, pa.binary())],
-                    ["node", "members"],
-                )
-
-    made = map_rows(texts, run, "node long, members binary")
-    return written(texts.sparkSession, made, "jaccard").dropDuplicates(["node"])
-
-
-def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        for batch in batches:
+            bit = np.mod(batch.column(0).to_numpy(), WANTED_BITS)
+            kept = table[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)
+            yield batch.filter(pa.array(kept.astype(bool)))
+
+    made = map_rows(sets, run, "node long, members binary")
+    return written(sets.sparkSession, made, "jaccard").dropDuplicates(["node"])
+
+
+def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that are similar enough, by intersecting their sorted arrays."""
     nodes = pairs.select("a").union(pairs.select("b"))
-    arrays = _arrays(texts, wanted_filter(nodes, "a"))
+    arrays = _arrays(sets, wanted_filter(nodes, "a"))
     held = pairs.join(arrays.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
     held = held.join(arrays.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
 
@@ -251,7 +242,7 @@ def allows(total, apart):
     return (total - apart) * (LEAST + WHOLE) >= 2 * LEAST * total
 
 
-def _tiles(rows: DataFrame, bitmaps: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _tiles(rows: DataFrame, bitmaps: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of small tiles and links of large ones, both ``a, b`` of different components.
 
     ``rows`` holds ``key, node, size, component``. A set is at home in its band of sizes and a guest in
@@ -309,7 +300,7 @@ def _tiles(rows: DataFrame, bitmaps: DataFrame, texts: DataFrame) -> tuple[DataF
     huge = placed.where("large")
     if huge.isEmpty():
         return pairs, pairs.limit(0)
-    arrays = _arrays(texts, wanted_filter(huge.select("node"), "node"))
+    arrays = _arrays(sets, wanted_filter(huge.select("node"), "node"))
     return pairs, streamed(sided.where("large").join(arrays, "node"), _links_between, "members")
 
 
@@ -421,13 +412,18 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     texts = id_text(df, id_col, text_col).withColumn("row", F.xxhash64("text"))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in small_batches(batches):
-            sizes, nodes, maps, seen = [], [], [], set()
+            sizes, nodes, maps, arrays = [], [], [], []
+            if len(seen) > SEEN:
+                seen.clear()
             for text in batch.column(1).to_pylist():
                 members = shingle_set(text)
                 sizes.append(len(members))
                 nodes.append(node_of(members) if len(members) else None)
-                maps.append(bitmap(members) if len(members) and nodes[-1] not in seen else None)
+                first = len(members) > 0 and nodes[-1] not in seen
+                maps.append(bitmap(members) if first else None)
+                arrays.append(members.tobytes() if first else None)
                 seen.add(nodes[-1])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -436,16 +432,20 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(maps, pa.binary()),
+                    pa.array(arrays, pa.binary()),
                 ],
-                ["id", "row", "n_shingles", "node", "bitmap"],
+                ["id", "row", "n_shingles", "node", "bitmap", "members"],
             )
 
-    schema = f"id {kind}, row long, n_shingles long, node long, bitmap binary"
+    # Texts are cut into words once; later steps read the sets. A set that several tasks hold is
+    # there several times, which every step that reads them takes care of.
+    schema = f"id {kind}, row long, n_shingles long, node long, bitmap binary, members binary"
     docs = written(spark, map_rows(texts, classes, schema), "jaccard")
     bitmaps = docs.where("bitmap IS NOT NULL").select("node", "n_shingles", "bitmap")
     bitmaps = written(spark, bitmaps.dropDuplicates(["node"]), "jaccard")
+    sets = docs.where("members IS NOT NULL").select("node", "members")
 
-    rows = _prefix_rows(texts, _frequent(texts))
+    rows = _prefix_rows(sets, _frequent(sets))
     firsts = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     shared = rows.join(firsts.where("first <> last").select("key", "first"), "key")
     # Of copies in several tasks one row stays.
@@ -462,7 +462,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .distinct()
     )
     star = written(spark, star, "jaccard")
-    links = written(spark, _checked(written(spark, _possible(star, bitmaps), "jaccard"), texts), "jaccard")
+    links = written(spark, _checked(written(spark, _possible(star, bitmaps), "jaccard"), sets), "jaccard")
     found = components(links)
 
     placed = shared.select("key", "node", "size").join(found, "node", "left")
@@ -474,10 +474,10 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         .select("key")
     )
     placed = written(spark, placed.join(open_keys, "key"), "jaccard")
-    pairs, joined = _tiles(placed, bitmaps, texts)
+    pairs, joined = _tiles(placed, bitmaps, sets)
     more = written(spark, pairs.join(star, ["a", "b"], "left_anti"), "jaccard")
-    links = links.union(_checked(more, texts)).union(joined)
-    return docs.drop("bitmap"), components(written(spark, links, "jaccard"))
+    links = links.union(_checked(more, sets)).union(joined)
+    return docs.drop("bitmap", "members"), components(written(spark, links, "jaccard"))
 
 
 def join_components(

@@ -269,8 +269,11 @@ def variants(
 
     ``form`` is the most frequent near word if it is at least ``times`` as frequent as the word, else
     NULL, with its count ``form_n``; ``root`` is where forms lead to, the word itself if it has none.
-    An empty table gives no rows. Words, their keys and their forms move; pairs do not.
+    An empty table gives no rows. Words, their keys and their forms move; pairs do not. ``times`` is 2
+    or more, so that ways end.
     """
+    if times < 2:
+        raise ValueError("need times >= 2")
     spark = df.sparkSession
     words = written(
         spark, vocabulary(df, shortest, least, one_in, id_col, text_col), "vocabulary"
