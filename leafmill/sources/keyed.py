@@ -19,7 +19,7 @@ from leafmill.operators.upsert import collapse_keyed, merge_keyed
 from leafmill.plans.settings import settings
 from leafmill.plans.workdir import written
 
-PARTS = 64
+PARTS = 16
 _PART = "_part"
 #: The join goes by partition and key; rows dealt by partition alone need not move again.
 _BY_PART = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
