@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from leafmill.llm import chaining, fingerprints
+from leafmill.llm import chaining, fingerprints, quality
 
 
 def text_of(n, rng):
@@ -67,3 +68,34 @@ def test_thinned_seeds_cover_the_same_words():
             return {(p + i, q + i) for p, q in places for i in range(chaining.WORDS)}
 
         assert covered(kept) == covered(spots)
+
+
+def test_quality_learns_from_every_label(spark):
+    rng = random.Random(11)
+    texts = [text_of(60, rng) for _ in range(40)]
+    odd = " ".join("#" * 30 + str(k) for k in range(60))
+    docs = spark.range(7000).selectExpr("id AS doc_id").join(
+        spark.createDataFrame(list(enumerate(texts)), "k int, text string"), F.expr("doc_id % 40 = k")
+    )
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([(9999, odd)], "doc_id long, text string"))
+    # The one rejected row is the last in the order that a bounded sample was taken in.
+    labels = docs.select("doc_id", (F.col("doc_id") != 9999).cast("int").alias("quality"))
+    last = labels.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    swap = F.when(F.col("doc_id") == 9999, last).when(F.col("doc_id") == last, 9999).otherwise(F.col("doc_id"))
+    docs, labels = docs.withColumn("doc_id", swap), labels.withColumn("doc_id", swap)
+    forest = quality.fit(docs, labels)
+    assert forest is not None
+    assert [r["id"] for r in quality.judge(docs, forest).where("NOT kept").collect()] == [last]
+
+
+def test_threshold_equals_sorting_all_scores(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ORDERED", 50)
+    rng = np.random.default_rng(5)
+    for lost in (0.0, 0.002, 0.1, 1.0):
+        good = rng.random(900) < 0.8
+        scores = np.round(rng.normal(np.where(good, 0.4, 0.55), 0.08), 3)
+        want = quality.grow(scores[:, None], scores[:1], scores[:1], trees=1)
+        quality.calibrate(want, scores, good, lost)
+        rows = [(float(s), int(g)) for s, g in zip(scores, good)]
+        got = quality.threshold(spark.createDataFrame(rows, "score double, good int"), lost)
+        assert (2.0 if got is None else got) == want.threshold
