@@ -12,7 +12,7 @@ from leafmill.functions.embedding import hashed_embedding
 from leafmill.functions.text import chunk_id
 from leafmill.models import Model, embed
 from leafmill.operators.chunks import chunk_rows, spread_chunks
-from leafmill.operators.upsert import upsert
+from leafmill.operators.upsert import merge_keyed, upsert
 
 VECTOR_KEY = ("namespace", "id")
 
@@ -66,10 +66,33 @@ def vector_flow(
     """Stored texts to vectors in one flow: the new state of ``store`` after all chunks of ``stored``.
 
     ``store`` holds ``namespace``, ``key``, ``id``, ``values`` and ``metadata``, one row per namespace,
-    document and chunk; a chunk that a document repeats is one vector.
+    document and chunk; a chunk that a document repeats is one vector. Texts are cut once, and chunks,
+    not vectors, move before they are reduced; one full outer join then meets the store.
     """
-    records = vector_records(stored, key, text, metadata, chunks)
-    batch = records.select(
-        F.lit(namespace).alias("namespace"), key, "id", "values", "metadata", "pos"
+    listed = chunk_separator(F.col(text)) if chunks is None else chunks
+    rows = chunk_rows(
+        stored.withColumn("metadata", _metadata(metadata)), [key, "metadata"], listed
+    )
+    names = ("namespace", key, "id")
+    kinds = ", ".join(f"`{c}`: {store.schema[c].dataType.simpleString()}" for c in names)
+
+    def as_key(*parts: Column) -> Column:
+        """The key as one struct, of the same type on both sides, so that no side moves twice."""
+        named = [part.alias(c) for part, c in zip(parts, names)]
+        return F.struct(*named).cast(f"struct<{kinds}>").alias("_key")
+
+    # Equal ids are equal chunks: one stays before it is made a vector.
+    latest = (
+        rows.select(
+            as_key(F.lit(namespace), F.col(key), chunk_id(F.col("chunk"))),
+            "pos",
+            F.struct("chunk", "metadata").alias("held"),
+        )
+        .groupBy("_key")
+        .agg(F.max_by("held", "pos").alias("held"))
+        .select("_key", hashed_embedding(F.col("held.chunk")).alias("values"), "held.metadata")
     )
-    return upsert(store, batch, ("namespace", key, "id"), "pos")
+    columns = [*store.columns, *(c for c in ("values", "metadata") if c not in store.columns)]
+    missing = [F.lit(None).cast(latest.schema[c].dataType).alias(c) for c in columns if c not in store.columns]
+    old = store.select(as_key(*map(F.col, names)), *(c for c in store.columns if c not in names), *missing)
+    return merge_keyed(old, latest, ["_key"], columns, names).drop("_key")

@@ -4,6 +4,7 @@ import random
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from leafmill.operators import filters, quarantine, upsert, vectors
 from leafmill.plans import flow, ingest, parallel, workdir
@@ -497,3 +498,30 @@ def test_no_file_is_lost(spark, tmp_path):
     assert rows["x.pdf"]["error"].startswith("FileNotFoundError") and rows["x.pdf"]["content"] is None
     assert rows["big.pdf"]["error"] == "file too large" and rows["big.pdf"]["length"] == 8
     assert bytes(rows["_y.pdf"]["content"]) == b"two" and rows["_y.pdf"]["error"] is None
+
+
+def test_vector_flow_cuts_each_text_once(spark):
+    schema = "namespace string, doc_id bigint, id string, values array<float>, metadata map<string,string>, note string"
+    cut = F.split("text", "\n")
+    first = spark.createDataFrame([(1, "a b\nc\na b", "x"), (None, "n", "x"), (2, "q", "x")], "doc_id bigint, text string, lang string")
+    second = spark.createDataFrame(
+        [(1, "c\nd", "y"), (None, "n", "y"), (3, None, "y"), (4, "q", None), (4, "q", None)],
+        "doc_id bigint, text string, lang string",
+    )
+
+    def after(store, docs):
+        return vectors.vector_flow(store, docs, "main", "doc_id", "text", ["lang"], cut)
+
+    def plain(store, docs):
+        records = vectors.vector_records(docs, "doc_id", "text", ["lang"], cut)
+        batch = records.select(F.lit("main").alias("namespace"), "doc_id", "id", "values", "metadata", "pos")
+        return upsert.upsert(store, batch, ("namespace", "doc_id", "id"), "pos")
+
+    empty = spark.createDataFrame([], schema)
+    noted = [("main", 2, "gone", [1.0], {"lang": "old"}, "kept"), ("other", 1, "z", None, None, "too")]
+    for store in (empty, spark.createDataFrame(noted, schema)):
+        got, want = (f(f(store, first), second) for f in (after, plain))
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() >= 6
+        steps = got._jdf.queryExecution().optimizedPlan().toString()
+        assert steps.count("Generate posexplode") == 2
