@@ -57,6 +57,50 @@ def test_passages_of_50_words_are_all_found(spark):
         assert got[doc]["passage_start"] <= start and got[doc]["passage_end"] >= end
 
 
+def first_places(rows):
+    """``id, other, pos, at`` of all seeds by plain loops."""
+    first, out = {}, set()
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        keys, places = chaining.seeds(text)
+        for key, pos in zip(keys.tolist(), places.tolist()):
+            other, at = first.setdefault(key, (doc, pos))
+            if other < doc:
+                out.add((doc, other, pos, at))
+    return out
+
+
+def test_runs_equal_plain_loops(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "HELD_SEEDS", 700)
+    monkeypatch.setattr(chaining, "LEAST_BUCKETS", 5)
+    rng = random.Random(12)
+    common, texts = text_of(30, rng), []
+    for _ in range(120):
+        parts = [text_of(rng.randint(0, 25), rng), common if rng.random() < 0.7 else "", "in " * rng.randint(0, 20)]
+        texts.append(" ".join([*parts, rng.choice(texts or [""])]))
+    ids = [f"d{k:03d}" for k in range(120)]
+    rng.shuffle(ids)
+    rows = [*zip(ids, texts), *list(zip(ids, texts))[:5]]
+    frame = spark.createDataFrame(rows, "id string, text string").repartition(3)
+    got = set()
+    for r in chaining._seed_runs(frame, "string").collect():
+        for of, pos, at, size in zip(r["of"], r["pos"], r["at"], r["size"]):
+            got |= {(r["id"], r["others"][of], pos + k, at + k) for k in range(size)}
+    assert got == first_places(rows) and len(got) > 2000
+
+
+def test_one_row_for_a_passage_and_its_partners(spark):
+    rng = random.Random(13)
+    one, other = text_of(45, rng), text_of(45, rng)
+    rows = [(1, f"{one} {text_of(20, rng)}"), (2, f"{other} {text_of(20, rng)}"), (3, f"{one} {other}")]
+    rows += [(k, f"{text_of(5, rng)} {one} {other}") for k in range(4, 9)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["id"]: r for r in chaining.whole_passages(frame).collect()}
+    assert sorted(got) == [3, 4, 5, 6, 7, 8]
+    assert (got[5]["passage_start"], got[5]["passage_end"]) == (5, 95)
+    assert {p["other"] for p in got[5]["partners"]} >= {1, 2}
+    assert chaining.passages(frame).where("id = 5").count() == len(got[5]["partners"])
+
+
 def test_thinned_seeds_cover_the_same_words():
     rng = random.Random(4)
     for _ in range(200):
