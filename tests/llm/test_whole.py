@@ -101,6 +101,21 @@ def test_one_row_for_a_passage_and_its_partners(spark):
     assert chaining.passages(frame).where("id = 5").count() == len(got[5]["partners"])
 
 
+def test_partners_beyond_the_first_are_found_on_request(spark):
+    rng = random.Random(14)
+    passage = text_of(60, rng).split()
+    rows = []
+    for k in range(56):  # each seed is first met in a document of its own
+        rows.append((k, f"{text_of(20, rng)} {' '.join(passage[k : k + 5])} {text_of(20, rng)}"))
+    rows += [(k, f"{text_of(10, rng)} {' '.join(passage)} {text_of(10, rng)}") for k in (1000, 1001)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    assert chaining.passages(frame).isEmpty()
+    (row,) = chaining.passages(frame, further=True).collect()
+    assert (row["id"], row["other"], row["passage_start"], row["passage_end"]) == (1001, 1000, 10, 70)
+    cut = {r["doc_id"]: r["text"] for r in chaining.without_passages(frame, further=True).collect()}
+    assert cut[1000] == rows[-2][1] and len(cut[1001].split()) == 20
+
+
 def test_thinned_seeds_cover_the_same_words():
     rng = random.Random(4)
     for _ in range(200):
