@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.chaining import united
 from leafmill.llm.common import id_text, id_type, map_rows, small_batches, tidy
 from leafmill.plans.workdir import written
 
@@ -176,6 +176,17 @@ def held_before(texts: list[bytes], owners: list) -> list[np.ndarray]:
     return [before[a : a + c] for a, c in zip(starts, counts)]
 
 
+def joined_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Spans joined where they overlap or touch, in order."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts)
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.flatnonzero(np.concatenate([[True], starts[1:] > reach[:-1]]))
+    last = np.append(first[1:], len(starts)) - 1
+    return list(zip(starts[first].tolist(), reach[last].tolist()))
+
+
 def _context(raw: bytes, at: int) -> tuple[bytes, int]:
     start = max(0, at - REACH)
     return raw[start : at + SIZE], start
@@ -407,9 +418,12 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             sizes, removed, counts, kept = [], [], [], []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            # Spans of a batch are many: two flat arrays, no object for each.
+            starts, ends = (c.to_numpy() for c in batch.column(2).flatten().flatten())
+            cuts = np.cumsum(pc.list_value_length(batch.column(2)).fill_null(0).to_numpy())
+            for text, a, b in zip(batch.column(1).to_pylist(), [0, *cuts[:-1].tolist()], cuts.tolist()):
                 raw = _bytes_of(text)
-                runs = united([(s["from"], s["to"]) for s in spans or []], 0)
+                runs = joined_spans(starts[a:b], ends[a:b])
                 at, parts = 0, []
                 for start, end in runs:
                     parts.append(raw[at:start])

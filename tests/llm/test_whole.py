@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from leafmill.llm import chaining, fingerprints, quality
+from leafmill.llm import chaining, fingerprints, quality, suffixes
 
 
 def text_of(n, rng):
@@ -158,3 +158,11 @@ def test_threshold_equals_sorting_all_scores(spark, monkeypatch):
         rows = [(float(s), int(g)) for s, g in zip(scores, good)]
         got = quality.threshold(spark.createDataFrame(rows, "score double, good int"), lost)
         assert (2.0 if got is None else got) == want.threshold
+
+
+def test_joined_spans_equal_plain_union():
+    rng = random.Random(15)
+    for _ in range(200):
+        spans = [(a, a + rng.randint(1, 12)) for a in (rng.randint(0, 150) for _ in range(rng.randint(0, 20)))]
+        starts, ends = (np.array([s[k] for s in spans], np.int64) for k in (0, 1))
+        assert suffixes.joined_spans(starts, ends) == chaining.united(spans, 0)
