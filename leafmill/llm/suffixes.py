@@ -7,8 +7,9 @@ Every ``SIZE`` bytes of a document that also start in a document of smaller id a
 2. Anchors of one document only are dropped: minima and maxima of ids per anchor, combined before
    they move, leave the shared ones; a table of fixed size lets the next passes skip most others.
 3. The context of an anchor is what all windows over it can reach. Equal contexts of an anchor are one
-   class with the smallest id. A suffix array over the classes' texts, many anchors at a time,
-   brings equal windows together and gives each window the smallest id that has it.
+   class with the smallest id. A suffix array over the classes' texts, many anchors at a time and a
+   byte in place of each, brings equal windows together and gives each window the smallest id that
+   has it over the same anchor.
 4. Each occurrence of a context learns from its class which of its windows to remove; the windows of
    a document are united and cut from its text.
 
@@ -41,6 +42,8 @@ WINDOWS = REACH + 1
 #: Bits of the table of shared anchors, and bytes that one suffix array takes in.
 SHARED_BITS = 1 << 26
 ARRAY_BYTES = 1 << 15
+#: What stands for an anchor in a suffix array: no byte of UTF-8.
+MARK = b"\xff"
 #: Classes that a task holds at once.
 TASK_CLASSES = 200_000
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -143,37 +146,65 @@ def _sliding(values: np.ndarray, pick) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def held_before(texts: list[bytes], owners: list) -> list[np.ndarray]:
-    """For each text, whether each of its windows is also in a text of a smaller owner."""
+def held_before(contexts: list[bytes], leads: list[int], owners: list) -> list[np.ndarray]:
+    """For each context, whether each of its windows is also over its anchor in one of a smaller owner.
+
+    All windows hold the anchor, so one byte that no text has stands for it in the suffix array.
+    """
+    texts, of = [], []
+    numbers: dict[bytes, int] = {}
+    for context, lead in zip(contexts, leads):
+        texts.append(context[:lead] + MARK + context[lead + ANCHOR :])
+        of.append(numbers.setdefault(context[lead : lead + ANCHOR], len(numbers)))
     joined = b"\0".join(texts) + b"\0"
-    starts = np.cumsum([0, *[len(t) + 1 for t in texts]]).tolist()
-    counts = [max(0, len(t) - SIZE + 1) for t in texts]
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    counts = np.maximum(sizes - WINDOWS + 1, 0)
     ranks = {owner: rank for rank, owner in enumerate(sorted(set(owners)))}
-    rank = [-1] * len(joined)  # of the owner of each window
-    for owner, start, count in zip(owners, starts, counts):
-        rank[start : start + count] = [ranks[owner]] * count
+    # Which text each window is of; other places hold -1.
+    text = np.full(len(joined), -1)
+    at = np.repeat(starts, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    text[at] = np.repeat(np.arange(len(texts)), counts)
     before = np.zeros(len(joined), dtype=bool)
-    run: list[int] = []
-    last = b""
-
-    def close() -> None:
-        least = min(rank[s] for s in run)
-        for s in run:
-            before[s] = rank[s] > least
-
-    # Suffixes that begin with one window follow each other.
-    for s in suffix_array(joined):
-        if rank[s] < 0:
-            continue
-        window = joined[s : s + SIZE]
-        if window != last:
-            if len(run) > 1:
-                close()
-            run, last = [], window
-        run.append(s)
-    if len(run) > 1:
-        close()
-    return [before[a : a + c] for a, c in zip(starts, counts)]
+    order = np.array(suffix_array(joined), np.int64)
+    order = order[text[order] >= 0]
+    if len(order):
+        # Suffixes that begin with one window follow each other.
+        windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(joined, np.uint8), WINDOWS)[order]
+        run = np.cumsum(np.append(True, (windows[1:] != windows[:-1]).any(axis=1)))
+        group, rank = np.array(of)[text[order]], np.array([ranks[o] for o in owners])[text[order]]
+        by = np.lexsort((rank, group, run))
+        order, run, group, rank = order[by], run[by], group[by], rank[by]
+        first = np.append(True, (run[1:] != run[:-1]) | (group[1:] != group[:-1]))
+        least = rank[first][np.cumsum(first) - 1]
+        before[order] = rank > least
+    return [before[a : a + c] for a, c in zip(starts.tolist(), counts.tolist())]
+
+
+def near(key: np.ndarray, lead: np.ndarray, contexts: pa.BinaryArray) -> np.ndarray:
+    """Which classes may share a window with another one of their anchor.
+
+    A window reaches half of ``REACH`` beyond the anchor on one side at least.
+    """
+    half, out = REACH // 2, np.zeros(len(key), bool)
+    offsets = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset :][: len(key) + 1].astype(np.int64)
+    data = np.frombuffer(contexts.buffers()[2], np.uint8)
+    anchor = offsets[:-1] + lead
+    for fits, start in (
+        (lead >= half, anchor - half),
+        (anchor + ANCHOR + half <= offsets[1:], anchor + ANCHOR),
+    ):
+        rows = np.flatnonzero(fits)
+        side = np.zeros(len(rows), np.uint64)
+        for k in range(half):
+            side = (side ^ data[start[rows] + k]) * MIX[0]
+            side ^= side >> np.uint64(29)
+        by = np.lexsort((side, key[rows]))
+        rows, side = rows[by], side[by]
+        same = (key[rows][1:] == key[rows][:-1]) & (side[1:] == side[:-1])
+        out[rows[1:][same]] = True
+        out[rows[:-1][same]] = True
+    return out
 
 
 def joined_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -293,73 +324,76 @@ def _judged(classes: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ["class", "least", "last", "removed"]
-        types: list = []
+        todo: list[pa.RecordBatch] = []
+        held = 0
 
-        def emit(rows: list[dict], masks: list[np.ndarray]) -> pa.RecordBatch:
-            held = [np.flatnonzero(m).tolist() for m in masks]
-            columns = [[r[f] for r in rows] for f in fields[:3]] + [held]
-            kinds = [pa.int64(), types[0], types[0], pa.list_(pa.int32())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], fields
+        def emit(rows: list[pa.RecordBatch], masks: list[np.ndarray] | None = None) -> pa.RecordBatch:
+            table = pa.Table.from_batches(rows).combine_chunks()
+            columns = [table.column(f).combine_chunks() for f in fields[:3]]
+            found = [np.flatnonzero(m) for m in masks or []]
+            offsets = np.cumsum([0, *map(len, found)]) if masks else np.zeros(table.num_rows + 1)
+            places = pa.array(np.concatenate(found) if found else [], pa.int32())
+            removed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)
+            return pa.RecordBatch.from_arrays([*columns, removed], fields)
+
+        def arrays() -> pa.RecordBatch:
+            contexts, leads, owners = (
+                [v for batch in todo for v in batch.column(f).to_pylist()] for f in ("context", "lead", "least")
             )
-
-        def near(rows: list[dict]) -> tuple[list[dict], list[dict]]:
-            """Classes of one anchor that may share a window with another one, and the others.
-
-            A window reaches half of ``REACH`` beyond the anchor on one side at least.
-            """
-            half, counts, sides = REACH // 2, {}, []
-            for r in rows:
-                at = r["lead"]
-                left = (0, r["context"][max(0, at - half) : at]) if at >= half else None
-                right = r["context"][at : at + ANCHOR + half]
-                right = (1, right) if len(right) == ANCHOR + half else None
-                sides.append((left, right))
-                for side in (left, right):
-                    if side is not None:
-                        counts[side] = counts.get(side, 0) + 1
-            close, far = [], []
-            for r, pair in zip(rows, sides):
-                many = any(side is not None and counts[side] > 1 for side in pair)
-                (close if many else far).append(r)
-            return close, far
-
-        group: list[dict] = []
-        todo: list[dict] = []
-        held = 0
-        none = np.zeros(0, dtype=bool)
-        for batch in batches:
-            if not types:
-                types.append(batch.schema.field("least").type)
-            done: list[dict] = []
-            for row in [*batch.to_pylist(), None]:
-                if row is not None and (not group or row["key"] == group[0]["key"]):
-                    group.append(row)
-                    continue
-                if row is None:
-                    break
-                close, far = near(group) if len(group) > 1 else ([], group)
-                done += far
-                todo += close
-                held += sum(len(r["context"]) for r in close)
-                group = [row]
-                if held >= ARRAY_BYTES:
-                    yield emit(todo, held_before([r["context"] for r in todo], [r["least"] for r in todo]))
-                    todo, held = [], 0
-            if done:
-                yield emit(done, [none] * len(done))
-        if group:
-            close, far = near(group) if len(group) > 1 else ([], group)
-            todo += close
-            if far:
-                yield emit(far, [none] * len(far))
+            return emit(todo, held_before(contexts, leads, owners))
+
+        for batch in _whole_anchors(batches):
+            column = batch.column("context")
+            close = near(batch.column("key").to_numpy(), batch.column("lead").to_numpy(), column)
+            far = batch.filter(pa.array(~close))
+            if far.num_rows:
+                yield emit([far])
+            # The classes of an anchor stay together.
+            batch = batch.filter(pa.array(close))
+            if not batch.num_rows:
+                continue
+            sizes = np.cumsum(pc.binary_length(batch.column("context")).to_numpy())
+            key = batch.column("key").to_numpy()
+            ends = [*(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), batch.num_rows]
+            start = done = 0
+            for end in ends:
+                if held + int(sizes[end - 1]) - done >= ARRAY_BYTES:
+                    todo.append(batch.slice(start, end - start))
+                    yield arrays()
+                    todo.clear()
+                    start, done, held = end, int(sizes[end - 1]), 0
+            if start < batch.num_rows:
+                todo.append(batch.slice(start))
+                held += int(sizes[-1]) - done
         if todo:
-            yield emit(todo, held_before([r["context"] for r in todo], [r["least"] for r in todo]))
+            yield arrays()
 
     schema = f"class long, least {kind}, last {kind}, removed array<int>"
     return map_rows(classes, run, schema)
 
 
+def _whole_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of their key, cut so that no key is in two batches."""
+    waiting: list[pa.RecordBatch] = []
+
+    def joined() -> pa.RecordBatch:
+        return pa.concat_batches(waiting)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        last = int(np.searchsorted(key, key[-1]))  # where the last key starts
+        if last:
+            waiting.append(batch.slice(0, last))
+        if waiting and (last or waiting[0].column("key")[0].as_py() != key[0]):
+            yield joined()
+            waiting.clear()
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield joined()
+
+
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept, kept_sha256`` per row; ``kept`` is binary.
 
@@ -389,9 +423,10 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     table[bits.column("word").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
     broadcast = spark.sparkContext.broadcast(table)
 
-    judged = written(spark, _judged(_classes(named, broadcast, kind), kind), "suffixes")
+    judged = _judged(_classes(named, broadcast, kind), kind)
     if not nameless:
         judged = judged.where("least < last OR size(removed) > 0")
+    judged = written(spark, judged, "suffixes")
 
     found = _occurrences(texts, broadcast, kind)
     later = F.col("id").isNull() | (F.col("id") > F.col("least"))
