@@ -458,7 +458,8 @@ def _classes(texts: DataFrame, shared, kind: str) -> DataFrame:
             for row, key, number, at, _, _, data in _shared_contexts(batch, shared.value):
                 if len(row):
                     held.append((docs_before + row, key, number, at, data))
-                    count += len(row)
+                    # Texts with few contexts are held as well.
+                    count += max(len(row), len(data) // 100)
             docs_before += batch.num_rows
             if count >= TASK_CONTEXTS:
                 yield from flush()
