@@ -11,6 +11,7 @@ session resolves to another one, such as a mount, is resolved once on the driver
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
@@ -39,6 +40,8 @@ IDENTITY = ["path", "modificationTime", "length"]
 # The largest content one value can hold, and the bytes of contents in one batch unless one is larger.
 MAX_CONTENT = 2**31 - 1 - 1024
 BATCH_BYTES = 8 << 20
+#: Bytes in one row of a file that is kept in pieces: a task holds some copies of a row.
+PIECE_BYTES = 4 << 20
 #: Entries that a task lists below one folder before it hands the folders that are left on.
 ENTRIES = 10_000
 #: Names of one store in Hadoop and in Arrow.
@@ -222,6 +225,128 @@ def _with(batch: pa.RecordBatch, read: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def with_pieces(
+    spark: SparkSession,
+    listed: DataFrame,
+    folder: str,
+    limit: int | None = None,
+    piece: int = PIECE_BYTES,
+    connect: Connect = connect_arrow,
+) -> DataFrame:
+    """``listed`` and ``part, last, content, error``: the bytes of each file in rows of at most ``piece``.
+
+    A file of any length is as many rows as it has pieces, numbered by ``part`` from 0; ``last`` marks
+    the last one. A smaller or empty file is one row. The pieces are spread over the tasks while they
+    are names, so those of one file are read by many tasks; what a file has grown by since it was
+    listed follows in further pieces. Of one that has more than ``limit`` bytes, or cannot be read, a
+    row has an error in place of the content.
+    """
+    ship_package(spark)
+    root, reached = located(spark, folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = F.lit(limit).cast("long")
+    pieces = F.ceil(F.coalesce("length", F.lit(0)) / F.lit(piece)).cast("int")
+    count = F.when(F.col("length") > most, 1).otherwise(F.greatest(pieces, F.lit(1)))
+    parts = listed.withColumn("part", F.explode(F.sequence(F.lit(0), count - 1)))
+    fields = [*parts.schema.fields, T.StructField("last", T.BooleanType())]
+    fields += [BINARY_SCHEMA["content"], T.StructField("error", T.StringType())]
+    parts = parts.withColumn("last", F.col("part") == count - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = connect(reached)
+
+        def read(path: str, length: int | None, part: int, last: bool) -> Iterator[tuple]:
+            """``part, last, content, error`` of a piece, and of what follows the last one."""
+            if limit is not None and (length or 0) > limit:
+                yield part, last, None, "file too large"
+                return
+            try:
+                with store.open_input_file(base + path[len(root) :]) as source:
+                    source.seek(min(part * piece, source.size()))
+                    content = source.read(piece)
+                    while last and (more := source.read(piece)):
+                        yield part, False, content, None
+                        part, content = part + 1, more
+                    grown = limit is not None and part * piece + len(content) > limit
+            except Exception as problem:  # whatever the store raises
+                yield part, last, None, f"{type(problem).__name__}: {problem}"
+                return
+            yield part, last, *((None, "file too large") if grown else (content, None))
+
+        for batch in batches:
+            names = batch.schema.names
+            kept = [c for c, name in zip(batch.columns, names) if name not in ("part", "last")]
+            kept_names = [name for name in names if name not in ("part", "last")]
+            asked = zip(*(batch.column(c).to_pylist() for c in ("path", "length", "part", "last")))
+            of, held, size = [], [], 0
+
+            def flush() -> pa.RecordBatch:
+                kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.string())
+                made = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
+                return pa.RecordBatch.from_arrays(
+                    [*(c.take(pa.array(of, pa.int64())) for c in kept), *made],
+                    [*kept_names, "part", "last", "content", "error"],
+                )
+
+            for row, file in enumerate(asked):
+                for found in read(*file):
+                    if held and size + len(found[2] or b"") > BATCH_BYTES:
+                        yield flush()
+                        of, held, size = [], [], 0
+                    of.append(row)
+                    held.append(found)
+                    size += len(found[2] or b"")
+            if held:
+                yield flush()
+
+    return parts.repartition(tasks, "path", "part").mapInArrow(run, T.StructType(fields))
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """``path, modificationTime, length, digest``: the SHA-256 of each file kept in pieces.
+
+    ``pieces`` has the columns of :func:`with_pieces`. A file of one row is digested where it lies;
+    the pieces of others move to one task in order, which holds one of them at a time. A file with a
+    piece that could not be read has no digest. A file that was added twice is digested twice.
+    """
+    # Else a batch has 10 000 rows, whatever they hold.
+    pieces.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    single = (F.col("part") == 0) & F.col("last")
+    whole = pieces.where(single).select(*IDENTITY, F.sha2("content", 256).alias("digest"))
+    moved = pieces.where(~single).select(*IDENTITY, "part", "content")
+    moved = moved.repartition(*IDENTITY).sortWithinPartitions(*IDENTITY, "part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, file, before, states = None, None, None, []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if states:
+                made = [s and s.hexdigest() for s in states]
+                columns = [pa.array([v] * len(made), f.type) for v, f in zip(file, schema)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.string())], [*IDENTITY, "digest"])
+
+        for batch in batches:
+            schema = [batch.schema.field(name) for name in IDENTITY]
+            for row in range(batch.num_rows):
+                here = [batch.column(c)[row] for c in range(len(IDENTITY))]
+                if file is None or here != file:
+                    yield from finish()
+                    file, before, states = here, None, []
+                part, content = batch.column(3)[row].as_py(), batch.column(4)[row]
+                copy = copy + 1 if part == before else 0
+                before = part
+                if copy == len(states):
+                    states.append(hashlib.sha256())
+                if not content.is_valid:
+                    states[copy] = None
+                elif states[copy]:
+                    states[copy].update(content.as_buffer())
+        yield from finish()
+
+    kind = T.StructType([*moved.schema.fields[:3], T.StructField("digest", T.StringType())])
+    return whole.unionByName(moved.mapInArrow(run, kind))
+
+
 def read_files(
     spark: SparkSession, folder: str, suffix: str = ".pdf", limit: int = MAX_CONTENT
 ) -> DataFrame:

@@ -16,6 +16,13 @@ from leafmill.plans.workdir import written
 TABLE_FORMAT = "parquet"
 #: Property that names the load a replaced table holds.
 LOAD = "leafmill.load"
+#: How Parquet files with contents of files are written: a writer looks at what it holds after few
+#: rows (by default after 100), and a reader gets a group of rows that is small as a whole.
+LARGE_ROWS = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "4",
+}
 # Error conditions of a missing table and a missing column.
 MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_COLUMN")
 

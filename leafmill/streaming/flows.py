@@ -14,11 +14,13 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from leafmill.models import Model
 from leafmill.plans.flow import items_from_files
+from leafmill.plans.settings import settings
 from leafmill.plans.workdir import written
 from leafmill.sources.files import MAX_CONTENT, list_tree, located, new_files, with_contents
 from leafmill.sources.footers import footer_schemas, merge_schemas
 from leafmill.sources.keyed import KeyedTable
 from leafmill.sources.tables import (
+    LARGE_ROWS,
     LOAD,
     TABLE_FORMAT,
     add_columns,
@@ -103,7 +105,9 @@ def process_table(
                 )
             known = spark.table(bronze).select(*identity)
             stream = stream.join(known, [stream[c].eqNullSafe(known[c]) for c in identity], "left_anti")
-    run_to_table(stream, bronze, checkpoint, partition_by, path, table_format)
+    contents = any(isinstance(f.dataType, T.BinaryType) for f in stream.schema.fields)
+    with settings(spark, LARGE_ROWS if contents else {}):
+        run_to_table(stream, bronze, checkpoint, partition_by, path, table_format)
     set_property(spark, bronze, COPIED, load or NO_LOAD)
     return spark.table(bronze)
 
