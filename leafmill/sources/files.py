@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.operators.filters import keep_substring
-from leafmill.plans.workdir import fresh_dir
+from leafmill.plans.settings import settings
+from leafmill.plans.workdir import fresh_dir, written
 from leafmill.plans.workers import ship_package
 
 # Fixed value: the columns of a binary file row.
@@ -307,10 +308,10 @@ def digests(pieces: DataFrame) -> DataFrame:
 
     ``pieces`` has the columns of :func:`with_pieces`. A file of one row is digested where it lies;
     the pieces of others move to one task in order, which holds one of them at a time. A file with a
-    piece that could not be read has no digest. A file that was added twice is digested twice.
+    piece that could not be read has no digest. A file that was added twice is digested twice. The
+    digests are computed once, into the shared folder.
     """
-    # Else a batch has 10 000 rows, whatever they hold.
-    pieces.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark = pieces.sparkSession
     single = (F.col("part") == 0) & F.col("last")
     whole = pieces.where(single).select(*IDENTITY, F.sha2("content", 256).alias("digest"))
     moved = pieces.where(~single).select(*IDENTITY, "part", "content")
@@ -344,7 +345,9 @@ def digests(pieces: DataFrame) -> DataFrame:
         yield from finish()
 
     kind = T.StructType([*moved.schema.fields[:3], T.StructField("digest", T.StringType())])
-    return whole.unionByName(moved.mapInArrow(run, kind))
+    # Else a batch has 10 000 rows, whatever they hold.
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        return written(spark, whole.unionByName(moved.mapInArrow(run, kind)), "digests")
 
 
 def read_files(
